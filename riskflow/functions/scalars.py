@@ -131,7 +131,7 @@ def multi_hot(x: Column | str, values: Sequence[str], prefix: str) -> dict[str,
 def list_items(x: Column | str) -> Column:
     """Distinct trimmed items of "A, B, and C"; null for null."""
     items = F.split(_col(x), r",\s*(?:and\s+)?")
-    return F.array_distinct(F.filter(F.transform(items, F.trim), lambda i: F.length(i) > 0))
+    return F.array_distinct(F.filter(F.transform(items, lambda i: F.trim(i)), lambda i: F.length(i) > 0))
 
 
 def list_hot(x: Column | str, values: Sequence[str], prefix: str) -> dict[str, Column]:

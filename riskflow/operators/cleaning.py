@@ -34,9 +34,9 @@ def columns_by_kind(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[st
     return numeric, text
 
 
-def enforce_schema(df: DataFrame, schema: StructType) -> DataFrame:
+def enforce_schema(df: DataFrame, schema: StructType, keep_extra: bool = False) -> DataFrame:
     """Cast to the declared types: dirty numbers are stripped first, what cannot be read becomes null,
-    absent columns become null. One projection."""
+    absent columns become null. One projection. Undeclared columns are left out unless ``keep_extra``."""
     have = {f.name: f.dataType for f in df.schema.fields}
     out: list[Column] = []
     for f in schema.fields:
@@ -46,7 +46,10 @@ def enforce_schema(df: DataFrame, schema: StructType) -> DataFrame:
             value = S.dirty_number(f.name)
         else:
             value = F.col(f.name)
-        out.append(value.try_cast(f.dataType).alias(f.name) if f.name in have else value.cast(f.dataType).alias(f.name))
+        out.append(value.try_cast(f.dataType).alias(f.name))
+    if keep_extra:
+        declared = set(schema.fieldNames())
+        out += [F.col(c) for c in df.columns if c not in declared]
     return df.select(*out)
 
 
@@ -169,16 +172,16 @@ def loan_delinquency(
 
 
 def clean_loans(raw: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
-    typed = keep_one_per_grain(enforce_schema(raw, schema), keys)
+    typed = keep_one_per_grain(enforce_schema(raw, schema, keep_extra=True), keys)
     return with_asof_date(loan_delinquency(typed))
 
 
 def clean_clickstream(raw: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
-    return with_asof_date(keep_one_per_grain(enforce_schema(raw, schema), keys))
+    return with_asof_date(keep_one_per_grain(enforce_schema(raw, schema, keep_extra=True), keys))
 
 
 def clean_attributes(raw: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
-    typed = drop_personal_data(keep_one_per_grain(enforce_schema(raw, schema), keys))
+    typed = drop_personal_data(keep_one_per_grain(enforce_schema(raw, schema, keep_extra=True), keys))
     return with_asof_date(
         typed.withColumns(
             {
@@ -191,7 +194,7 @@ def clean_attributes(raw: DataFrame, schema: StructType, keys: Sequence[str]) ->
 
 
 def clean_financials(raw: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
-    typed = keep_one_per_grain(enforce_schema(raw, schema), keys)
+    typed = keep_one_per_grain(enforce_schema(raw, schema, keep_extra=True), keys)
     return with_asof_date(
         typed.withColumns(
             {

@@ -11,24 +11,34 @@ from pyspark.sql import functions as F
 
 from riskflow.operators import applications as apps
 from riskflow.operators import dataset, labels, metrics, modeling
-from riskflow.operators.cleaning import CLEANERS, require_columns
+from riskflow.operators.cleaning import CLEANERS, Cast, apply_casts, require_columns
 from riskflow.operators.features import build_features, top_values
-from riskflow.schemas import SOURCES, text_version
+from riskflow.schemas import SOURCES
 from riskflow.sources import sinks, tables
 
 
 def bronze(spark: SparkSession, csv: str, table: str, root: str, dates: Sequence[str] | None = None) -> str:
-    """Raw rows as text, one partition per snapshot date, with the file they came from."""
-    schema, keys = SOURCES[table]
-    raw = tables.read_raw_csv(spark, csv, text_version(schema), lineage=True)
+    """Raw rows as text, all columns as they are, one partition per snapshot date, with the file they came from."""
+    raw = tables.read_raw_csv(spark, csv, lineage=True)
     raw = raw.withColumn("snapshot_date", F.col("snapshot_date").try_cast("date"))
     if dates:
         raw = tables.at_snapshots(raw, dates)
     return sinks.write_snapshots(raw, f"{root}/bronze/{table}")
 
 
-def silver(spark: SparkSession, table: str, root: str, dates: Sequence[str] | None = None, only_new: bool = False) -> str:
-    """Typed, deduplicated snapshots: all months, some months, or the months not yet there."""
+def silver(
+    spark: SparkSession,
+    table: str,
+    root: str,
+    dates: Sequence[str] | None = None,
+    only_new: bool = False,
+    casts: Sequence[Cast] = (),
+) -> str:
+    """Typed, deduplicated snapshots: all months, some months, or the months not yet there.
+
+    Declared columns get their declared types; ``casts`` (from a profile of the whole table) types the rest, the
+    same way in every snapshot.
+    """
     schema, keys = SOURCES[table]
     raw = tables.read_table(spark, f"{root}/bronze/{table}")
     target = f"{root}/silver/{table}"
@@ -37,6 +47,7 @@ def silver(spark: SparkSession, table: str, root: str, dates: Sequence[str] | No
     if only_new:
         raw = tables.only_new(raw, tables.read_table(spark, target, missing="none"))
     require_columns(raw, keys, table)
+    raw = apply_casts(raw.drop("source_file", "ingested_at"), casts)
     cleaned = CLEANERS[table](raw, schema, keys)
     return sinks.write_snapshots(cleaned, target)
 

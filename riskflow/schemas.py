@@ -19,11 +19,6 @@ def _struct(**columns: DataType) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
-def text_version(schema: StructType) -> StructType:
-    """The same columns as plain text: how a raw file with dirty numbers is read."""
-    return StructType([StructField(f.name, StringType()) for f in schema])
-
-
 CLICK_COLUMNS = tuple(f"fe_{i}" for i in range(1, 21))
 
 LOAN_DAILY = _struct(

@@ -18,9 +18,11 @@ def _day(value: Day) -> Column:
     return F.lit(value).cast("date")
 
 
-def read_raw_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType, lineage: bool = False) -> DataFrame:
-    """CSV with a header, read with a declared schema (no inference pass). ``lineage`` adds the file each
-    row came from and the time it was read."""
+def read_raw_csv(
+    spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, lineage: bool = False
+) -> DataFrame:
+    """CSV with a header. With a schema it is read as declared, else every column stays text; types are never
+    inferred. ``lineage`` adds the file each row came from and the time it was read."""
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.csv(paths, header=True, schema=schema, enforceSchema=False)
     if lineage:
