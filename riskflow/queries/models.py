@@ -1,0 +1,107 @@
+"""Training and scoring. Model fits have no SQL counterpart; their tests compare with known behaviour."""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from riskflow.operators import dataset as D
+from riskflow.operators import modeling as M
+from riskflow.queries.registry import Tables, query
+from riskflow.session import scratch_dir
+
+FEATURES = ["quantity", "price", "discount", "tax", "lines", "day"]
+
+
+def training_set(t: Tables) -> DataFrame:
+    """Orders with totals of their lines; the label is a total above the mean by a margin of line values, so
+    that it depends on the features but not only on one of them."""
+    lines = t["lineitem"].groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum("l_quantity").alias("quantity"),
+        (F.sum("l_extendedprice") / 1000).alias("price"),
+        F.avg("l_discount").alias("discount"),
+        F.avg("l_tax").alias("tax"),
+        F.count(F.lit(1)).cast("double").alias("lines"),
+    )
+    data = t["orders"].join(lines, "o_orderkey").select(
+        F.col("o_orderkey").cast("string").alias("Customer_ID"),
+        F.trunc(F.to_date("o_orderdate"), "MM").alias("snapshot_date"),
+        "quantity",
+        "price",
+        "discount",
+        "tax",
+        "lines",
+        F.dayofmonth("o_orderdate").cast("double").alias("day"),
+        ((F.col("price") + F.col("o_totalprice") / 2000 + 200 * F.col("discount")) > 280).cast("int").alias("label"),
+    )
+    return D.stratified_split(data, "label", "Customer_ID")
+
+
+def _evaluated(model: PipelineModel, data: DataFrame, name: str) -> DataFrame:
+    return M.evaluate(model, data).withColumn("model", F.lit(name)).withColumn("auc", F.round("auc", 6))
+
+
+@query("train_lr")
+def train_lr(t: Tables) -> DataFrame:
+    """Class-balanced logistic regression; AUC and Gini of train and test."""
+    data = D.add_class_weight(training_set(t))
+    model = M.fit_logistic(data.where("split = 'train'"), FEATURES, weight="weight")
+    return _evaluated(model, data, "lr")
+
+
+@query("train_gbt")
+def train_gbt(t: Tables) -> DataFrame:
+    data = training_set(t)
+    found = M.search(data.where("split = 'train'"), FEATURES, kind="gbt", n_trials=1, folds=2)
+    return _evaluated(found.model, data, "gbt")
+
+
+@query("cv_search")
+def cv_search(t: Tables) -> DataFrame:
+    """Random search over penalties with three folds; one row per trial."""
+    found = M.search(training_set(t).where("split = 'train'"), FEATURES, n_trials=3)
+    rows = [(x["C"], x["penalty"], round(x["cv_auc"], 6)) for x in found.trials]
+    return t.spark.createDataFrame(rows, "C double, penalty string, cv_auc double")
+
+
+def _fitted(t: Tables) -> tuple[PipelineModel, DataFrame]:
+    data = training_set(t)
+    return M.fit_logistic(data.where("split = 'train'"), FEATURES), data
+
+
+@query("score_batch")
+def score_batch(t: Tables) -> DataFrame:
+    """Predictions of all months in one plan, from a model that was saved and loaded again."""
+    model, data = _fitted(t)
+    path = f"{scratch_dir(t.spark, 'model')}/lr"
+    model.write().overwrite().save(path)
+    return M.predictions(PipelineModel.load(path), data, "LR")
+
+
+@query("coefficients")
+def coefficients(t: Tables) -> DataFrame:
+    model, _ = _fitted(t)
+    return M.coefficients(model, FEATURES, t.spark)
+
+
+@query("model_runs")
+def model_runs(t: Tables) -> DataFrame:
+    """The run log after two trainings, newest model loaded by name."""
+    base = scratch_dir(t.spark, "runs")
+    model, data = _fitted(t)
+    for day in ("2024-07-01", "2024-08-01"):
+        path = f"{base}/lr_{day}"
+        model.write().overwrite().save(path)
+        M.record_run(
+            t.spark,
+            f"{base}/log",
+            model_name="LR",
+            model_path=path,
+            train_date=day,
+            parameters={"C": 1.0, "penalty": "l2"},
+            metrics=M.evaluate(model, data),
+            sizes=D.split_stats(data),
+        )
+    M.latest_model(t.spark, f"{base}/log", "LR")
+    return t.spark.read.parquet(f"{base}/log").drop("created_at", "model_path")
