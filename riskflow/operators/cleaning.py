@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, FloatType, NumericType, StringType, Stru
 
 from riskflow.constants import LOAN_TYPES, PAYMENT_BEHAVIOURS
 from riskflow.functions import scalars as S
-from riskflow.operators.ordered import first_rows, single_row_as_long
+from riskflow.operators.ordered import first_rows, wide_as_long
 
 _INT_LIMIT = 2**31 - 1
 
@@ -70,11 +70,12 @@ class Cast:
 def numeric_profile(df: DataFrame, exclude: Sequence[str] = ("Customer_ID", "snapshot_date")) -> DataFrame:
     """For every text column: rows, rows that hold a number once stripped, share, whether all are whole,
     largest magnitude. One aggregate over the table for all columns together."""
-    columns = [c for c in columns_by_kind(df, exclude)[1]]
+    _, columns = columns_by_kind(df, exclude)
     aggregates: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
     fields: dict[str, dict[str, str]] = {}
+    numbers = df.select(*[S.dirty_number(c).alias(f"x{i}") for i, c in enumerate(columns)])
     for i, c in enumerate(columns):
-        x = S.dirty_number(c)
+        x = F.col(f"x{i}")
         aggregates += [
             F.count(x).alias(f"n{i}"),
             F.coalesce(F.max(F.abs(x - F.floor(x))), F.lit(0.0)).alias(f"f{i}"),
@@ -85,7 +86,7 @@ def numeric_profile(df: DataFrame, exclude: Sequence[str] = ("Customer_ID", "sna
         return df.sparkSession.createDataFrame(
             [], "column string, n_rows bigint, n_numeric bigint, max_fraction double, max_size double, share double"
         )
-    long = single_row_as_long(df.agg(*aggregates), fields)
+    long = wide_as_long(numbers.agg(*aggregates), fields)
     return long.withColumn("share", F.when(F.col("n_rows") > 0, F.col("n_numeric") / F.col("n_rows")))
 
 
@@ -220,7 +221,7 @@ CLEANERS = {
 def invalid_categories(df: DataFrame, allowed: Mapping[str, Sequence[str]]) -> DataFrame:
     """Per column: rows outside the allowed values."""
     wide = df.agg(*[F.count_if(~F.col(c).isin(list(v)) | F.col(c).isNull()).alias(c) for c, v in allowed.items()])
-    return single_row_as_long(wide, {c: {"n_invalid": c} for c in allowed})
+    return wide_as_long(wide, {c: {"n_invalid": c} for c in allowed})
 
 
 def to_date_or_null(column: str) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from riskflow.constants import KEYS, OOT_MONTHS, SPLIT_SEED, TRAIN_RATIO, TRAIN_TEST_MONTHS
 from riskflow.functions import scalars as S
 from riskflow.operators.cleaning import columns_by_kind
-from riskflow.operators.ordered import exact_quantiles, single_row_as_long
+from riskflow.operators.ordered import exact_quantiles, wide_as_long
 
 
 # ---- time ----
@@ -168,7 +168,7 @@ def add_class_weight(df: DataFrame, label: str = "label", column: str = "weight"
 def missing_rates(df: DataFrame, columns: Sequence[str], limit: float = 0.5) -> DataFrame:
     """Share of nulls per feature, and whether it is low enough to keep."""
     wide = df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(f"r{i}") for i, c in enumerate(columns)])
-    long = single_row_as_long(wide, {c: {"missing_rate": f"r{i}"} for i, c in enumerate(columns)}, "feature")
+    long = wide_as_long(wide, {c: {"missing_rate": f"r{i}"} for i, c in enumerate(columns)}, "feature")
     return long.withColumn("keep", F.col("missing_rate") < limit)
 
 
@@ -178,7 +178,7 @@ def constant_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         *[F.min(c).cast("double").alias(f"lo{i}") for i, c in enumerate(columns)],
         *[F.max(c).cast("double").alias(f"hi{i}") for i, c in enumerate(columns)],
     )
-    long = single_row_as_long(wide, {c: {"low": f"lo{i}", "high": f"hi{i}"} for i, c in enumerate(columns)}, "feature")
+    long = wide_as_long(wide, {c: {"low": f"lo{i}", "high": f"hi{i}"} for i, c in enumerate(columns)}, "feature")
     return long.select("feature", F.coalesce(F.col("low") == F.col("high"), F.lit(True)).alias("is_constant"))
 
 

@@ -20,7 +20,7 @@ from riskflow.constants import (
     OVERFIT_GAP,
     THRESHOLDS,
 )
-from riskflow.operators.ordered import cumulate, single_row_as_long
+from riskflow.operators.ordered import cumulate, wide_as_long
 
 
 # ---- predictions and labels ----
@@ -232,7 +232,7 @@ def threshold_sweep(
         cells = _cells(label, score, t)
         aggregates += [c.alias(f"{name}{i}") for name, c in cells.items()]
         fields[str(t)] = {name: f"{name}{i}" for name in cells}
-    counts = single_row_as_long(scored.agg(*aggregates), fields, "threshold")
+    counts = wide_as_long(scored.agg(*aggregates), fields, "threshold")
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     total = tp + fp + fn + tn
     return counts.withColumn("threshold", F.col("threshold").cast("double")).withColumns(

@@ -84,6 +84,11 @@ def fit_logistic(
     return Pipeline(stages=[*preprocessing(features), lr]).fit(train)
 
 
+def fit_boosted(train: DataFrame, features: Sequence[str], label: str = "label", **parameters) -> PipelineModel:
+    """One gradient-boosted tree model."""
+    return Pipeline(stages=[*preprocessing(features), boosted(label).setParams(**parameters)]).fit(train)
+
+
 def search(
     train: DataFrame,
     features: Sequence[str],

@@ -1,29 +1,30 @@
 """Running totals, exact quantiles and top rows over an order that may be very long.
 
-A window over a whole group would sort that group in one task. Here the order is cut into two levels of
-value ranges first. Totals per range are small and summed by a short window; the rows of one range are the
-only ones ever sorted together.
+A window over a whole group would sort that group in one task. Here the order is first cut into ranges by
+magnitude, and a range with many rows is cut again into equal parts between its own smallest and largest
+value. Totals per range and per part are small and summed by short windows; only the rows of one part are ever
+sorted together. The cuts depend on the data alone, so a task that is repeated computes the same ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ALL = "__all"
-_FINE = "__fine"
-_COARSE = "__coarse"
-_RESOLUTION = float(1 << 20)
-_COARSE_BITS = 10
+_RANGE = "__range"
+_PART = "__part"
+_PER_OCTAVE = 64
+_LOWEST_EXPONENT = 1075  # below that of the smallest double
+ROWS_PER_PART = 50_000
 
 
-def _value_range(x: Column) -> Column:
-    """Number of the value range of x: non-decreasing in x, ranges of about one millionth of (1 + |x|)."""
-    x = x.cast("double")
-    return (F.signum(x) * F.floor(F.log1p(F.abs(x)) * _RESOLUTION)).cast("bigint")
+def _magnitude(x: Column) -> Column:
+    """Number of the range of x, non-decreasing in x: 64 ranges between any value and its double."""
+    steps = F.floor((F.log2(F.abs(x)) + _LOWEST_EXPONENT) * _PER_OCTAVE)
+    return F.when(x == 0, F.lit(0)).otherwise(F.signum(x) * steps).cast("bigint")
 
 
 def cumulate(
@@ -32,49 +33,57 @@ def cumulate(
     measures: Sequence[str],
     groups: Sequence[str] = (),
     descending: bool = False,
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """Add ``cum_<m>`` (total up to and including the row) and ``tot_<m>`` (total of the group).
 
     ``df`` holds one row per (groups, order); groups and order are not null.
     """
     keys = list(groups) or [_ALL]
-    base = df if groups else df.withColumn(_ALL, F.lit(0))
-    base = base.withColumn(_FINE, _value_range(F.col(order)))
+    x = F.col(order).cast("double")
+    base = (df if groups else df.withColumn(_ALL, F.lit(0))).withColumn(_RANGE, _magnitude(x))
+    sums = [F.sum(m).alias(m) for m in measures]
 
     def ordered(name: str) -> Column:
         return F.desc(name) if descending else F.asc(name)
 
-    fine = (
-        base.groupBy(*keys, _FINE)
-        .agg(*[F.sum(m).alias(m) for m in measures])
-        .withColumn(_COARSE, F.shiftright(_FINE, _COARSE_BITS))
-    )
-    coarse = fine.groupBy(*keys, _COARSE).agg(*[F.sum(m).alias(m) for m in measures])
+    def earlier(partition: list[str], name: str):
+        return Window.partitionBy(*partition).orderBy(ordered(name)).rowsBetween(Window.unboundedPreceding, -1)
 
-    whole = Window.partitionBy(*keys)
-    before = whole.orderBy(ordered(_COARSE)).rowsBetween(Window.unboundedPreceding, -1)
-    coarse = coarse.select(
-        *keys,
-        _COARSE,
-        *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"__before_{m}") for m in measures],
-        *[F.sum(m).over(whole).alias(f"tot_{m}") for m in measures],
-    )
+    def before(m: str, window) -> Column:
+        return F.coalesce(F.sum(m).over(window), F.lit(0))
 
-    before = Window.partitionBy(*keys, _COARSE).orderBy(ordered(_FINE)).rowsBetween(Window.unboundedPreceding, -1)
-    fine = fine.join(coarse, [*keys, _COARSE]).select(
+    ranges = base.groupBy(*keys, _RANGE).agg(
+        *sums, F.min(x).alias("__lo"), F.max(x).alias("__hi"), F.ceil(F.count(F.lit(1)) / rows_per_part).alias("__parts")
+    )
+    ranges = ranges.select(
         *keys,
-        _FINE,
-        *[(F.col(f"__before_{m}") + F.coalesce(F.sum(m).over(before), F.lit(0))).alias(f"__base_{m}") for m in measures],
-        *[f"tot_{m}" for m in measures],
+        _RANGE,
+        "__lo",
+        "__hi",
+        "__parts",
+        *[before(m, earlier(keys, _RANGE)).alias(f"__range_{m}") for m in measures],
+        *[F.sum(m).over(Window.partitionBy(*keys)).alias(f"tot_{m}") for m in measures],
     )
-
+    share = (x - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
+    part = F.when(
+        (F.col("__parts") > 1) & (F.col("__hi") > F.col("__lo")),
+        F.least(F.floor(share * F.col("__parts")), F.col("__parts") - 1),
+    ).otherwise(F.lit(0).cast("bigint"))
+    located = base.join(ranges, [*keys, _RANGE]).withColumn(_PART, part).drop("__lo", "__hi", "__parts")
+
+    spot = [*keys, _RANGE]
+    parts = located.groupBy(*spot, _PART).agg(*sums)
+    parts = parts.select(*spot, _PART, *[before(m, earlier(spot, _PART)).alias(f"__part_{m}") for m in measures])
     upto = (
-        Window.partitionBy(*keys, _FINE).orderBy(ordered(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*spot, _PART).orderBy(ordered(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        base.join(fine, [*keys, _FINE])
-        .withColumns({f"cum_{m}": F.col(f"__base_{m}") + F.sum(m).over(upto) for m in measures})
-        .drop(_FINE, _ALL, *[f"__base_{m}" for m in measures])
+        located.join(parts, [*spot, _PART])
+        .withColumns(
+            {f"cum_{m}": F.col(f"__range_{m}") + F.col(f"__part_{m}") + F.sum(m).over(upto) for m in measures}
+        )
+        .drop(_ALL, _RANGE, _PART, *[f"__{level}_{m}" for level in ("range", "part") for m in measures])
     )
 
 
@@ -124,14 +133,12 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("__rank", F.row_number().over(window)).where("__rank = 1").drop("__rank")
 
 
-def single_row_as_long(df: DataFrame, fields: Mapping[str, Mapping[str, str]], name: str = "column") -> DataFrame:
-    """Turn the one row of a wide aggregate into one row per key of ``fields``: key -> {output: wide column}."""
+def wide_as_long(
+    df: DataFrame, fields: Mapping[str, Mapping[str, str]], name: str = "column", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Turn a row of a wide aggregate into one row per key of ``fields``: key -> {output: wide column}."""
     rows = [
         F.struct(F.lit(key).alias(name), *[F.col(source).alias(out) for out, source in outputs.items()])
         for key, outputs in fields.items()
     ]
-    return df.select(F.inline(F.array(*rows)))
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+    return df.select(*keep, F.inline(F.array(*rows)))

@@ -133,23 +133,58 @@ def exact_date_join(
     return applications.join(day, [key, app_date], "left")
 
 
-def _day_states(history: DataFrame, key: str, date: str, states: Mapping[str, set[str]], unique: bool) -> DataFrame:
-    dated = history.where(F.col(date).isNotNull()).withColumn(_DAY, F.col(date).cast("date"))
-    out: list[Column] = []
-    for c, stats in states.items():
+def _fold_days(history: DataFrame, key: str, wanted: Mapping[str, set[str]]) -> DataFrame:
+    """One row per (key, day): count, sum, squared deviations and maximum of every column.
+
+    Squares are taken around the mean of the key, so that the deviation of values that are large but close
+    together is not lost to rounding.
+    """
+    states: list[Column] = []
+    for c, stats in wanted.items():
         x = F.col(c)
-        if stats & {"mean", "std", "count"}:
-            out.append((x.isNotNull().cast("bigint") if unique else F.count(x)).alias(f"__n_{c}"))
-        if stats & {"sum", "mean", "std"}:
-            out.append((x if unique else F.sum(x)).alias(f"__s_{c}"))
+        states += [F.count(x).alias(f"__n_{c}"), F.sum(x).alias(f"__s_{c}")]
         if "std" in stats:
-            spread = F.when(x.isNotNull(), F.lit(0.0)) if unique else F.var_pop(x) * F.count(x)
-            out.append(spread.alias(f"__q_{c}"))
+            states.append((F.var_pop(x) * F.count(x)).alias(f"__q_{c}"))
         if "max" in stats:
-            out.append((x if unique else F.max(x)).alias(f"__m_{c}"))
-    if unique:
-        return dated.select(key, _DAY, *out)
-    return dated.groupBy(key, _DAY).agg(*out)
+            states.append(F.max(x).alias(f"__m_{c}"))
+    days = history.groupBy(key, _DAY).agg(*states)
+    spread = [c for c, stats in wanted.items() if "std" in stats]
+    if not spread:
+        return days
+    whole = Window.partitionBy(key)
+    days = days.withColumns(
+        {
+            f"__t_{c}": F.col(f"__s_{c}")
+            - F.col(f"__n_{c}") * (F.sum(f"__s_{c}").over(whole) / F.nullif(F.sum(f"__n_{c}").over(whole), F.lit(0)))
+            for c in spread
+        }
+    )
+    return days.withColumns(
+        {
+            f"__q_{c}": F.when(
+                F.col(f"__n_{c}") > 0, F.col(f"__q_{c}") + F.col(f"__t_{c}") * F.col(f"__t_{c}") / F.col(f"__n_{c}")
+            )
+            for c in spread
+        }
+    )
+
+
+def _statistic(stat: str, c: str, within, folded: bool) -> Column:
+    """Aggregate of one column; ``within`` limits an expression to a horizon."""
+    if not folded:
+        x = within(F.col(c))
+        return {"sum": F.sum, "mean": F.avg, "std": F.stddev_samp, "max": F.max, "count": F.count}[stat](x)
+    n, s = F.sum(within(F.col(f"__n_{c}"))), F.sum(within(F.col(f"__s_{c}")))
+    if stat == "sum":
+        return s
+    if stat == "mean":
+        return F.when(n > 0, s / n)
+    if stat == "max":
+        return F.max(within(F.col(f"__m_{c}")))
+    if stat == "count":
+        return F.coalesce(n, F.lit(0))
+    q, t = F.sum(within(F.col(f"__q_{c}"))), F.sum(within(F.col(f"__t_{c}")))
+    return F.when(n > 1, F.sqrt(F.greatest(q - t * t / n, F.lit(0.0)) / (n - 1)))
 
 
 def lookback(
@@ -177,12 +212,12 @@ def lookback(
     longest = max(horizons.values())
     width = longest + 1
     columns = list(stats)
-    wanted = {c: set(s) for c, s in stats.items()}
-    if fill is not None:
-        history = history.withColumns({c: F.coalesce(F.col(c), F.lit(fill)) for c in columns})
-    days = _day_states(history, key, date, wanted, unique).withColumn(
-        "__span", F.floor(F.unix_date(_DAY) / width)
+    values = {c: F.col(c) if fill is None else F.coalesce(F.col(c), F.lit(fill)) for c in columns}
+    rows = history.where(F.col(date).isNotNull()).select(
+        key, F.col(date).cast("date").alias(_DAY), *[v.alias(c) for c, v in values.items()]
     )
+    days = rows if unique else _fold_days(rows, key, {c: set(s) for c, s in stats.items()})
+    days = days.withColumn("__span", F.floor(F.unix_date(_DAY) / width))
     last = F.unix_date("__app_day")
     app_days = (
         applications.select(key, F.col(app_date).cast("date").alias("__app_day"))
@@ -210,46 +245,15 @@ def lookback(
         )
     )
 
-    def within(label: str, x: Column) -> Column:
-        return x if horizons[label] == longest else F.when(F.col("__lag") <= horizons[label], x)
-
-    aggregates: list[Column] = []
-    outputs: list[Column] = []
-    for label in horizons:
-        for c in columns:
-            need = wanted[c]
-            n, s, q, m = (f"__{letter}_{c}_{label}" for letter in "nsqm")
-            if need & {"mean", "std", "count"}:
-                aggregates.append(F.sum(within(label, F.col(f"__n_{c}"))).alias(n))
-            if need & {"sum", "mean", "std"}:
-                aggregates.append(F.sum(within(label, F.col(f"__s_{c}"))).alias(s))
-            if "std" in need:
-                squares = F.col(f"__q_{c}") + F.when(
-                    F.col(f"__n_{c}") > 0, F.col(f"__s_{c}").cast("double") * F.col(f"__s_{c}") / F.col(f"__n_{c}")
-                )
-                aggregates.append(F.sum(within(label, squares)).alias(q))
-            if "max" in need:
-                aggregates.append(F.max(within(label, F.col(f"__m_{c}"))).alias(m))
-            for stat in stats[c]:
-                if stat == "sum":
-                    value = F.col(s)
-                elif stat == "mean":
-                    value = F.when(F.col(n) > 0, F.col(s) / F.col(n))
-                elif stat == "count":
-                    value = F.coalesce(F.col(n), F.lit(0))
-                elif stat == "max":
-                    value = F.col(m)
-                else:
-                    value = _sample_std(F.col(n), F.col(s), F.col(q))
-                outputs.append(value.alias(f"{c}_{stat}_{label}"))
-    return pairs.groupBy(key, "__app_day").agg(*aggregates).select(
-        key, F.col("__app_day").alias(app_date), *outputs
-    )
-
-
-def _sample_std(n: Column, s: Column, squares: Column) -> Column:
-    """Standard deviation from count, sum and sum of squares. A spread below the rounding error of the
-    squares is zero."""
-    mean_square = s.cast("double") * s / n
-    spread = squares - mean_square
-    return F.when(n > 1, F.when(spread > mean_square * 1e-14, F.sqrt(spread / (n - 1))).otherwise(F.lit(0.0)))
+    def within(label: str):
+        if horizons[label] == longest:
+            return lambda x: x
+        return lambda x: F.when(F.col("__lag") <= horizons[label], x)
+
+    aggregates = [
+        _statistic(stat, c, within(label), not unique).alias(f"{c}_{stat}_{label}")
+        for label in horizons
+        for c in columns
+        for stat in stats[c]
+    ]
+    return pairs.groupBy(key, F.col("__app_day").alias(app_date)).agg(*aggregates)

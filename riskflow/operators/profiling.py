@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.functions import scalars as S
-from riskflow.operators.ordered import exact_quantiles, long_form, single_row_as_long
+from riskflow.operators.ordered import exact_quantiles, wide_as_long
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -21,7 +21,7 @@ def missing_summary(df: DataFrame, columns: Sequence[str] | None = None, only_mi
     """Null count and percentage of every column, from one aggregate."""
     columns = list(columns or df.columns)
     wide = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, c in enumerate(columns)])
-    long = single_row_as_long(wide, {c: {"n_rows": "n", "missing_count": f"m{i}"} for i, c in enumerate(columns)})
+    long = wide_as_long(wide, {c: {"n_rows": "n", "missing_count": f"m{i}"} for i, c in enumerate(columns)})
     out = long.select(
         "column",
         "missing_count",
@@ -116,26 +116,21 @@ def value_counts(df: DataFrame, column: str, keep_null: bool = False, top: int |
 
 def describe(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum, one row per (groups, column)."""
-    keys = [*groups, "column"]
-    moments = (
-        long_form(df, columns, groups)
-        .groupBy(*keys)
-        .agg(
-            F.count("value").alias("n"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
+    stats = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    known = df.select(*groups, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    wide = known.groupBy(*groups).agg(
+        *[f(c).alias(f"{name}{i}") for i, c in enumerate(columns) for name, f in stats.items()]
     )
-    return moments.join(exact_quantiles(df, columns, QUARTILES, groups), keys)
+    fields = {c: {name: f"{name}{i}" for name in stats} for i, c in enumerate(columns)}
+    moments = wide_as_long(wide, fields, keep=groups)
+    return moments.join(exact_quantiles(df, columns, QUARTILES, groups), [*groups, "column"], "left")
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Number of distinct non-null values of every column."""
     count = F.approx_count_distinct if approximate else F.countDistinct
     wide = df.agg(*[count(F.col(c)).alias(f"d{i}") for i, c in enumerate(columns)])
-    return single_row_as_long(wide, {c: {"n_distinct": f"d{i}"} for i, c in enumerate(columns)})
+    return wide_as_long(wide, {c: {"n_distinct": f"d{i}"} for i, c in enumerate(columns)})
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50, low: float | None = None, high: float | None = None) -> DataFrame:
@@ -184,7 +179,7 @@ def rate_by(df: DataFrame, by: Column | str, label: str = "label") -> DataFrame:
 def correlation_with(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column with the label, from one aggregate."""
     wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(f"r{i}") for i, c in enumerate(columns)])
-    return single_row_as_long(wide, {c: {"corr": f"r{i}"} for i, c in enumerate(columns)}, "feature")
+    return wide_as_long(wide, {c: {"corr": f"r{i}"} for i, c in enumerate(columns)}, "feature")
 
 
 def top_correlated(correlations: DataFrame, k: int = 20) -> DataFrame:

@@ -124,11 +124,13 @@ def train(
 
     inside = dataset.stratified_split(data.where("period = 'train_test'"), "label", "row_key")
     sets = inside.unionByName(data.where("period = 'oot'").withColumn("split", F.lit("oot")))
+    name = f"credit_model_{kind.upper()}"
+    version = f"{name}_{train_date.replace('-', '_')}"
+    sets = sinks.materialise(sets, f"{root}/models/training_sets/{version}")
     best = modeling.search(
         sets.where("split = 'train'"), names, kind=kind, key="row_key", n_trials=n_trials, parallelism=parallelism
     )
-    name = f"credit_model_{kind.upper()}"
-    path = f"{root}/models/{name}_{train_date.replace('-', '_')}"
+    path = f"{root}/models/{version}"
     best.model.write().overwrite().save(path)
 
     saved = PipelineModel.load(path)

@@ -60,11 +60,11 @@ def _outcome_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query(
     "outcomes_same_snapshot",
-    f"""WITH {_OUTCOMES} SELECT y.user_id AS "Customer_ID", y.week AS month, y.label, ROUND(p.score, 8) AS score, 1 AS weight
+    f"""WITH {_OUTCOMES} SELECT y.user_id AS "Customer_ID", y.week AS month, y.label, ROUND(p.score, 11) AS score, 1 AS weight
     FROM y JOIN p ON p.user_id = y.user_id AND p.week = y.week""",
 )
 def outcomes_same_snapshot(t: Tables) -> DataFrame:
-    return M.join_outcomes(*_outcome_tables(t), mode="snapshot").withColumn("score", F.round("score", 8))
+    return M.join_outcomes(*_outcome_tables(t), mode="snapshot").withColumn("score", F.round("score", 11))
 
 
 @query(
@@ -72,7 +72,7 @@ def outcomes_same_snapshot(t: Tables) -> DataFrame:
     """WITH p AS (SELECT o_custkey AS c, CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS m, MAX(o_totalprice) / 500000.0 AS score
       FROM orders GROUP BY 1, 2), y AS (SELECT o_custkey AS c, CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS m,
       MAX(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS label FROM orders GROUP BY 1, 2)
-    SELECT y.c AS "Customer_ID", y.m AS month, y.label, ROUND(p.score, 8) AS score, 1 AS weight
+    SELECT y.c AS "Customer_ID", y.m AS month, y.label, ROUND(p.score, 11) AS score, 1 AS weight
     FROM y JOIN p ON p.c = y.c AND y.m = p.m + INTERVAL 6 MONTH""",
 )
 def outcomes_matured(t: Tables) -> DataFrame:
@@ -80,7 +80,7 @@ def outcomes_matured(t: Tables) -> DataFrame:
     customer = F.col("o_custkey").alias("Customer_ID")
     predictions = t["orders"].groupBy(customer, month).agg((F.max("o_totalprice") / 500000.0).alias("model_predictions"))
     labels = t["orders"].groupBy(customer, month).agg(F.max((F.col("o_orderstatus") == "F").cast("int")).alias("label"))
-    return M.join_outcomes(predictions, labels, "maturity", 6).withColumn("score", F.round("score", 8))
+    return M.join_outcomes(predictions, labels, "maturity", 6).withColumn("score", F.round("score", 11))
 
 
 @query(
