@@ -59,7 +59,7 @@ def score_counts(scored: DataFrame, groups: Sequence[str], label: str, score: st
     w = F.col(weight) if weight else F.lit(1)
     y = F.col(label)
     return (
-        scored.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+        scored.where(F.col(label).isin(0, 1) & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
         .groupBy(*groups, F.col(score).cast("double").alias("score"))
         .agg(
             F.sum(F.when(y == 1, w).otherwise(0)).alias("pos"),

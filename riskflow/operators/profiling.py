@@ -176,21 +176,28 @@ def rate_by(df: DataFrame, by: Column | str, label: str = "label") -> DataFrame:
     )
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson correlation over the rows where both are known; null if one of them does not vary (the native
+    function divides by zero there)."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.when(spread > 0, F.covar_pop(x, y) / spread)
+
+
 def correlation_with(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column with the label, from one aggregate."""
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(f"r{i}") for i, c in enumerate(columns)])
+    wide = df.agg(*[correlation(c, label).alias(f"r{i}") for i, c in enumerate(columns)])
     return wide_as_long(wide, {c: {"corr": f"r{i}"} for i, c in enumerate(columns)}, "feature")
 
 
 def top_correlated(correlations: DataFrame, k: int = 20) -> DataFrame:
-    known = correlations.where("corr IS NOT NULL AND NOT isnan(corr)")
-    return known.orderBy(F.abs("corr").desc(), F.asc("feature")).limit(k)
+    return correlations.where("corr IS NOT NULL").orderBy(F.abs("corr").desc(), F.asc("feature")).limit(k)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlation of every pair of columns (each pair once), from one aggregate."""
     pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = [
         F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{i}").alias("corr"))
         for i, (a, b) in enumerate(pairs)
