@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from riskflow.constants import KEYS, OOT_MONTHS, SPLIT_SEED, TRAIN_RATIO, TRAIN_TEST_MONTHS
 from riskflow.functions import scalars as S
 from riskflow.operators.cleaning import columns_by_kind
-from riskflow.operators.ordered import exact_quantiles, wide_as_long
+from riskflow.operators.ordered import exact_quantiles, one_row, wide_as_long
 
 
 # ---- time ----
@@ -122,21 +122,23 @@ def impute_median(df: DataFrame, columns: Sequence[str], fitted_on: DataFrame |
     cleaned = df.withColumns({c: S.finite(c) for c in columns})
     source = cleaned if fitted_on is None else fitted_on.withColumns({c: S.finite(c) for c in columns})
     medians = exact_quantiles(source, columns, {"median": 0.5})
-    wide = medians.agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in columns])
-    return cleaned.withColumns({c: F.coalesce(F.col(c), wide.select(c).scalar()) for c in columns})
+    wide = one_row(medians.agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in columns]))
+    return cleaned.withColumns({c: F.coalesce(F.col(c), wide[c]) for c in columns})
 
 
 def standardise(df: DataFrame, columns: Sequence[str], fitted_on: DataFrame | None = None) -> DataFrame:
     """Zero mean and unit population deviation, fitted on one table and applied to another. Columns without
     spread are only centred."""
     source = df if fitted_on is None else fitted_on
-    fitted = source.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
+    fitted = one_row(
+        source.agg(
+            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+            *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
+        )
     )
 
     def scaled(i: int, c: str) -> Column:
-        mean, spread = fitted.select(f"m{i}").scalar(), fitted.select(f"s{i}").scalar()
+        mean, spread = fitted[f"m{i}"], fitted[f"s{i}"]
         return (F.col(c) - mean) / F.when(spread > 0, spread).otherwise(1.0)
 
     return df.withColumns({c: scaled(i, c) for i, c in enumerate(columns)})
@@ -155,11 +157,8 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def add_class_weight(df: DataFrame, label: str = "label", column: str = "weight") -> DataFrame:
-    w = class_weights(df, label)
-    return df.withColumn(
-        column,
-        F.when(F.col(label) == 1, w.select("weight_pos").scalar()).otherwise(w.select("weight_neg").scalar()),
-    )
+    w = one_row(class_weights(df, label))
+    return df.withColumn(column, F.when(F.col(label) == 1, w["weight_pos"]).otherwise(w["weight_neg"]))
 
 
 # ---- selection ----

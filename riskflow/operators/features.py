@@ -115,48 +115,56 @@ def one_hot_top(df: DataFrame, column: str, k: int = 15, prefix: str | None = No
 # ---- dated groups ----
 
 
-def delinquency(
+def _delay_columns(delayed: str) -> dict[str, Column]:
+    worst = F.coalesce(F.col(f"{delayed}_max_12m"), F.lit(0))
+    return {
+        **{f"Num_of_Delayed_Payment_{h}": F.coalesce(F.col(f"{delayed}_sum_{h}"), F.lit(0)) for h in DELAY_HORIZONS},
+        "max_dpd_prior": worst,
+        "ever_30dpd_prior": S.flag(worst >= 30),
+    }
+
+
+def _limit_columns(changed: str) -> dict[str, Column]:
+    return {
+        **{f"Changed_Credit_Limit_sum_{h}": F.col(f"{changed}_sum_{h}") for h in LIMIT_HORIZONS},
+        **{f"count_credit_limit_changes_{h}": F.col(f"{changed}_count_{h}") for h in LIMIT_HORIZONS},
+    }
+
+
+def financial_windows(
     financials: DataFrame,
     applications: DataFrame,
     *,
-    delayed: str = "Num_of_Delayed_Payment",
-    strict: bool = False,
-    unique: bool = False,
+    delayed: str | None = "Num_of_Delayed_Payment",
+    changed: str | None = None,
     key: str = "Customer_ID",
     app_date: str = "application_date",
-    date: str = "snapshot_date",
+    **options,
 ) -> DataFrame:
-    """Delayed payments over 90, 180 and 365 days, the highest count in a year, and whether it reached 30."""
-    found = lookback(
-        financials,
-        applications,
-        {delayed: ("sum", "max")},
-        DELAY_HORIZONS,
-        key=key,
-        app_date=app_date,
-        date=date,
-        strict=strict,
-        unique=unique,
-    )
-    names = {f"{delayed}_sum_{label}": f"Num_of_Delayed_Payment_{label}" for label in DELAY_HORIZONS}
-    out = found.select(
-        key,
-        app_date,
-        *[F.coalesce(F.col(src), F.lit(0)).alias(name) for src, name in names.items()],
-        F.coalesce(F.col(f"{delayed}_max_12m"), F.lit(0)).alias("max_dpd_prior"),
-    )
-    return out.withColumn("ever_30dpd_prior", S.flag(F.col("max_dpd_prior") >= 30))
+    """Delayed payments over 90, 180 and 365 days, the highest count in a year and whether it reached 30; sum
+    and number of credit-limit changes over 90 and 180 days. Both from the same pass."""
+    stats: dict[str, tuple[str, ...]] = {}
+    outputs: dict[str, Column] = {}
+    if delayed:
+        stats[delayed] = ("sum", "max")
+        outputs |= _delay_columns(delayed)
+    if changed:
+        financials = financials.withColumn(changed, F.nullif(F.col(changed), F.lit(0).cast("double")))
+        stats[changed] = ("sum", "count")
+        outputs |= _limit_columns(changed)
+    horizons = DELAY_HORIZONS if delayed else LIMIT_HORIZONS
+    found = lookback(financials, applications, stats, horizons, key=key, app_date=app_date, **options)
+    return found.select(key, app_date, *[c.alias(name) for name, c in outputs.items()])
+
+
+def delinquency(financials: DataFrame, applications: DataFrame, **options) -> DataFrame:
+    return financial_windows(financials, applications, **options)
 
 
 def limit_changes(
-    financials: DataFrame, applications: DataFrame, *, changed: str = "Changed_Credit_Limit", strict: bool = False, **names
+    financials: DataFrame, applications: DataFrame, *, changed: str = "Changed_Credit_Limit", **options
 ) -> DataFrame:
-    """Sum and number of credit-limit changes over 90 and 180 days."""
-    moves = financials.withColumn(changed, F.when(F.col(changed) != 0, F.col(changed)))
-    found = lookback(moves, applications, {changed: ("sum", "count")}, LIMIT_HORIZONS, strict=strict, **names)
-    renamed = {f"{changed}_sum_{label}": f"Changed_Credit_Limit_sum_{label}" for label in LIMIT_HORIZONS}
-    renamed |= {f"{changed}_count_{label}": f"count_credit_limit_changes_{label}" for label in LIMIT_HORIZONS}
-    return found.withColumnsRenamed(renamed)
+    return financial_windows(financials, applications, delayed=None, changed=changed, **options)
 
 
 def days_since(app_date: str, event_date: str) -> Column:
@@ -220,16 +228,14 @@ def build_features(
         features = asof_join(features, histories, strict=strict, applications_unique=True)
 
     grain = ["Customer_ID", "application_date"]
-    on_time = features.select(*grain)
     added: dict[str, Column] = {}
     spent: list[str] = []
     zero_when_absent: list[str] = []
     if financials is not None:
-        delays = delinquency(financials, on_time, strict=strict, unique=True)
-        features = features.join(delays, grain, "left")
-        zero_when_absent += [c for c in delays.columns if c not in grain]
-        if "Changed_Credit_Limit" in financials.columns:
-            features = features.join(limit_changes(financials, on_time, strict=strict, unique=True), grain, "left")
+        changed = "Changed_Credit_Limit" if "Changed_Credit_Limit" in financials.columns else None
+        windows = financial_windows(financials, applications, changed=changed, strict=strict, unique=True)
+        features = features.join(windows, grain, "left")
+        zero_when_absent += [c for c in windows.columns if c not in grain]
         added |= capacity() | behaviour() | credit_depth() | exposure()
         added |= {
             "Num_of_Loan_active": F.col("Num_of_Loan"),
@@ -244,7 +250,7 @@ def build_features(
         added |= age_flags() | S.one_hot("Occupation", top_occupations, "Occupation")
         spent += ["Occupation"]
     if clicks is not None:
-        features = features.join(clickstream(clicks, on_time, strict=strict, unique=True), grain, "left")
+        features = features.join(clickstream(clicks, applications, strict=strict, unique=True), grain, "left")
 
     features = features.withColumns(added).drop(*spent)
     if zero_when_absent:

@@ -68,24 +68,28 @@ def score_counts(scored: DataFrame, groups: Sequence[str], label: str, score: st
     )
 
 
+def _runs(scored: DataFrame, groups: Sequence[str], label: str, score: str, weight: str | None) -> DataFrame:
+    return cumulate(score_counts(scored, groups, label, score, weight), "score", ["pos", "neg"], groups)
+
+
+def _ranking() -> dict[str, Column]:
+    p, n = F.col("tot_pos"), F.col("tot_neg")
+    both = (p > 0) & (n > 0)
+    below = F.col("cum_neg") - F.col("neg") / 2
+    auc = F.sum(F.when(both, F.col("pos") / p * (below / n)))
+    return {
+        "auc": auc,
+        "gini": 2 * auc - 1,
+        "ks": F.max(F.when(both, F.abs(F.col("cum_pos") / p - F.col("cum_neg") / n))),
+    }
+
+
 def ranking_metrics(
     scored: DataFrame, groups: Sequence[str] = (), label: str = "label", score: str = "score", weight: str | None = None
 ) -> DataFrame:
     """AUC (ties count half), Gini and KS per group; null where only one class is present."""
-    runs = cumulate(score_counts(scored, groups, label, score, weight), "score", ["pos", "neg"], groups)
-    below = F.col("cum_neg") - F.col("neg") / 2
-    p, n = F.col("tot_pos"), F.col("tot_neg")
-    both = (p > 0) & (n > 0)
-    gap = F.when(both, F.abs(F.col("cum_pos") / p - F.col("cum_neg") / n))
-    return (
-        runs.groupBy(*groups)
-        .agg(
-            F.sum(F.when(both, F.col("pos") / p * (below / n))).alias("auc"),
-            F.max(gap).alias("ks"),
-            F.sum("pos").alias("n_pos"),
-            F.sum("neg").alias("n_neg"),
-        )
-        .withColumn("gini", 2 * F.col("auc") - 1)
+    return _runs(scored, groups, label, score, weight).groupBy(*groups).agg(
+        *[c.alias(name) for name, c in _ranking().items()], F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")
     )
 
 
@@ -97,27 +101,23 @@ def monitoring(
     weight: str | None = None,
     digits: int = 4,
 ) -> DataFrame:
-    """One row per month: size, AUC, Gini, KS, Brier, mean prediction, default rate and their gap."""
-    w = F.col(weight) if weight else F.lit(1)
-    known = scored.where(F.col(label).isNotNull() & F.col(score).isNotNull() & F.col(group).isNotNull())
-    y, p = F.col(label), F.col(score)
-    averages = known.groupBy(group).agg(
-        F.sum(w).cast("bigint").alias("n_samples"),
-        (F.sum(w * (p - y) * (p - y)) / F.sum(w)).alias("Brier"),
-        (F.sum(w * p) / F.sum(w)).alias("Pred_Mean"),
-        (F.sum(w * y) / F.sum(w)).alias("Actual_Default_Rate"),
-    )
-    ranks = ranking_metrics(known, [group], label, score, weight)
-    return averages.join(ranks, group).select(
-        group,
-        "n_samples",
-        F.round("auc", digits).alias("AUC"),
-        F.round("gini", digits).alias("Gini"),
-        F.round("ks", digits).alias("KS"),
-        F.round("Brier", digits).alias("Brier"),
-        F.round("Pred_Mean", digits).alias("Pred_Mean"),
-        F.round("Actual_Default_Rate", digits).alias("Actual_Default_Rate"),
-        F.round(F.abs(F.col("Pred_Mean") - F.col("Actual_Default_Rate")), digits).alias("Default_Rate_Diff"),
+    """One row per month: size, AUC, Gini, KS, Brier, mean prediction, default rate and their gap. All of them
+    follow from the counts per score, so the scored rows are read once."""
+    p, pos, neg = F.col("score"), F.col("pos"), F.col("neg")
+    n = F.sum(pos + neg)
+    mean, rate = F.sum((pos + neg) * p) / n, F.sum(pos) / n
+    rank = _ranking()
+    measures = {
+        "AUC": rank["auc"],
+        "Gini": rank["gini"],
+        "KS": rank["ks"],
+        "Brier": F.sum(pos * (p - 1) * (p - 1) + neg * p * p) / n,
+        "Pred_Mean": mean,
+        "Actual_Default_Rate": rate,
+        "Default_Rate_Diff": F.abs(mean - rate),
+    }
+    return _runs(scored, [group], label, score, weight).groupBy(group).agg(
+        n.cast("bigint").alias("n_samples"), *[F.round(c, digits).alias(name) for name, c in measures.items()]
     )
 
 

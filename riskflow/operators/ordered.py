@@ -24,7 +24,7 @@ ROWS_PER_PART = 50_000
 def _magnitude(x: Column) -> Column:
     """Number of the range of x, non-decreasing in x: 64 ranges between any value and its double."""
     steps = F.floor((F.log2(F.abs(x)) + _LOWEST_EXPONENT) * _PER_OCTAVE)
-    return F.when(x == 0, F.lit(0)).otherwise(F.signum(x) * steps).cast("bigint")
+    return F.coalesce(F.when(x == 0, F.lit(0)).otherwise(F.signum(x) * steps).cast("bigint"), F.lit(0))
 
 
 def cumulate(
@@ -37,11 +37,14 @@ def cumulate(
 ) -> DataFrame:
     """Add ``cum_<m>`` (total up to and including the row) and ``tot_<m>`` (total of the group).
 
-    ``df`` holds one row per (groups, order); groups and order are not null.
+    ``df`` holds one row per (groups, order); rows with a null in one of them are left out.
     """
     keys = list(groups) or [_ALL]
     x = F.col(order).cast("double")
-    base = (df if groups else df.withColumn(_ALL, F.lit(0))).withColumn(_RANGE, _magnitude(x))
+    # The joins below would add their own null filters to each branch, and branches that differ cannot share
+    # the shuffle of df. With the filter in all of them and a range that is never null, they are the same.
+    known = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*groups, order]))
+    base = (known if groups else known.withColumn(_ALL, F.lit(0))).withColumn(_RANGE, _magnitude(x))
     sums = [F.sum(m).alias(m) for m in measures]
 
     def ordered(name: str) -> Column:
@@ -69,7 +72,8 @@ def cumulate(
     part = F.when(
         (F.col("__parts") > 1) & (F.col("__hi") > F.col("__lo")),
         F.least(F.floor(share * F.col("__parts")), F.col("__parts") - 1),
-    ).otherwise(F.lit(0).cast("bigint"))
+    )
+    part = F.coalesce(part, F.lit(0).cast("bigint"))
     located = base.join(ranges, [*keys, _RANGE]).withColumn(_PART, part).drop("__lo", "__hi", "__parts")
 
     spot = [*keys, _RANGE]
@@ -142,3 +146,9 @@ def wide_as_long(
         for key, outputs in fields.items()
     ]
     return df.select(*keep, F.inline(F.array(*rows)))
+
+
+def one_row(df: DataFrame) -> Column:
+    """The single row of an aggregate as a struct that other expressions can use. It is one subquery however
+    many of its fields are read, so the aggregate runs once."""
+    return df.select(F.struct(*df.columns)).scalar()

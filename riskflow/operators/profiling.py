@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.functions import scalars as S
-from riskflow.operators.ordered import exact_quantiles, wide_as_long
+from riskflow.operators.ordered import exact_quantiles, one_row, wide_as_long
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -135,10 +135,11 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
 
 def histogram(df: DataFrame, column: str, bins: int = 50, low: float | None = None, high: float | None = None) -> DataFrame:
     """Rows per equal-width bin between the smallest and the largest value, the last bin closed."""
-    x = F.col(column)
-    kept = df.where(x.isNotNull() & ~F.isnan(x.cast("double")))
-    lo = F.lit(float(low)) if low is not None else kept.select(F.min(x).cast("double")).scalar()
-    hi = F.lit(float(high)) if high is not None else kept.select(F.max(x).cast("double")).scalar()
+    x = F.col(column).cast("double")
+    kept = df.where(x.isNotNull() & ~F.isnan(x))
+    span = one_row(kept.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))) if low is None or high is None else None
+    lo = span["lo"] if low is None else F.lit(float(low))
+    hi = span["hi"] if high is None else F.lit(float(high))
     if low is not None or high is not None:
         kept = kept.where(x.between(lo, hi))
     slot = F.when(hi > lo, F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1))).otherwise(0)
@@ -151,10 +152,8 @@ def quantile_bounds(df: DataFrame, column: str, low: float = 0.01, high: float =
 
 
 def clip_to_quantiles(df: DataFrame, column: str, low: float = 0.01, high: float = 0.99) -> DataFrame:
-    bounds = quantile_bounds(df, column, low, high)
-    return df.withColumn(
-        column, S.clip(F.col(column).cast("double"), bounds.select("low").scalar(), bounds.select("high").scalar())
-    )
+    bounds = one_row(quantile_bounds(df, column, low, high))
+    return df.withColumn(column, S.clip(F.col(column).cast("double"), bounds["low"], bounds["high"]))
 
 
 def interval_counts(df: DataFrame, column: str, edges: Sequence[float], labels: Sequence[str]) -> DataFrame:

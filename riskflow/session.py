@@ -8,13 +8,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Defaults that the plans in this package are written for. Adaptive execution splits skewed join
-# partitions and coalesces small ones; co-partitioning on a subset of the join keys lets a window per
-# customer feed a join on (customer, date) without a second shuffle.
+# partitions and coalesces small ones; wide feature rows stay in generated code.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.codegen.maxFields": "400",
 }
