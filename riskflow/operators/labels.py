@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskflow.constants import DPD_THRESHOLD
 from riskflow.functions import scalars as S
-from riskflow.operators.ordered import exact_quantiles
+from riskflow.operators.ordered import quantiles_of_counts
 
 
 def snapshot_labels(
@@ -59,13 +59,15 @@ def vintage_curve(loans: DataFrame, started_before: str | None = None, dpd: int
 
 def dpd_progression(loans: DataFrame, dpd: int = DPD_THRESHOLD, key: str = "loan_id") -> DataFrame:
     """By month on book: mean and median of the worst dpd per loan, loans that late, default rate in percent."""
-    worst = loans.groupBy(key, "mob").agg(F.max("dpd").alias("max_dpd"))
-    stats = worst.groupBy("mob").agg(
-        F.avg("max_dpd").alias("mean_dpd"),
-        F.count_if(F.col("max_dpd") >= dpd).alias("loans_late"),
-        F.count(F.lit(1)).alias("total_loans"),
+    worst = loans.where(F.col("mob").isNotNull()).groupBy(key, "mob").agg(F.max("dpd").alias("value"))
+    counts = worst.groupBy("mob", "value").agg(F.count(F.lit(1)).alias("n"))
+    n, dpd_days = F.col("n"), F.col("value")
+    stats = counts.groupBy("mob").agg(
+        (F.sum(n * dpd_days) / F.sum(F.when(dpd_days.isNotNull(), n))).alias("mean_dpd"),
+        F.sum(F.when(dpd_days >= dpd, n).otherwise(0)).alias("loans_late"),
+        F.sum(n).alias("total_loans"),
     )
-    middle = exact_quantiles(worst, ["max_dpd"], {"median_dpd": 0.5}, ["mob"]).drop("column")
+    middle = quantiles_of_counts(counts.where("value IS NOT NULL"), {"median_dpd": 0.5}, ["mob"])
     return stats.join(middle, "mob", "left").withColumn(
         "default_rate", F.round(F.col("loans_late") / F.col("total_loans") * 100, 2)
     )

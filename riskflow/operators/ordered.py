@@ -77,17 +77,25 @@ def cumulate(
     located = base.join(ranges, [*keys, _RANGE]).withColumn(_PART, part).drop("__lo", "__hi", "__parts")
 
     spot = [*keys, _RANGE]
-    parts = located.groupBy(*spot, _PART).agg(*sums)
-    parts = parts.select(*spot, _PART, *[before(m, earlier(spot, _PART)).alias(f"__part_{m}") for m in measures])
+    # The offset of the range travels with the parts: so both uses of ``located`` need the same columns of the
+    # ranges and share their shuffles.
+    parts = located.groupBy(*spot, _PART).agg(*sums, *[F.max(f"__range_{m}").alias(f"__range_{m}") for m in measures])
+    parts = parts.select(
+        *spot,
+        _PART,
+        *[(F.col(f"__range_{m}") + before(m, earlier(spot, _PART))).alias(f"__base_{m}") for m in measures],
+    )
     upto = (
         Window.partitionBy(*spot, _PART).orderBy(ordered(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # The rows are spread by part before the last window, whichever way the joins are carried out: a shuffle by
+    # range, left over from a join, would satisfy the window but bring a whole range into one task.
     return (
-        located.join(parts, [*spot, _PART])
-        .withColumns(
-            {f"cum_{m}": F.col(f"__range_{m}") + F.col(f"__part_{m}") + F.sum(m).over(upto) for m in measures}
-        )
-        .drop(_ALL, _RANGE, _PART, *[f"__{level}_{m}" for level in ("range", "part") for m in measures])
+        located.drop(*[f"__range_{m}" for m in measures])
+        .repartition(*spot, _PART)
+        .join(parts, [*spot, _PART])
+        .withColumns({f"cum_{m}": F.col(f"__base_{m}") + F.sum(m).over(upto) for m in measures})
+        .drop(_ALL, _RANGE, _PART, *[f"__base_{m}" for m in measures])
     )
 
 
@@ -110,6 +118,11 @@ def exact_quantiles(
     """
     keys = [*groups, "column"]
     counts = long_form(df, columns, groups).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    return quantiles_of_counts(counts, probabilities, keys)
+
+
+def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], keys: Sequence[str]) -> DataFrame:
+    """Quantiles from one row per (keys, value) with the number ``n`` of rows that have the value."""
     runs = cumulate(counts, "value", ["n"], keys)
 
     def at(position: Column) -> Column:

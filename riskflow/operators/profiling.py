@@ -114,6 +114,15 @@ def value_counts(df: DataFrame, column: str, keep_null: bool = False, top: int |
     return counts.limit(top) if top else counts
 
 
+def top_categories(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
+    """The k most frequent values of each column, nulls included. The long list of values is cut to k per task
+    before it is shuffled by column."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    window = Window.partitionBy("column").orderBy(F.desc("n"), F.asc_nulls_last("value"))
+    return counts.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
+
+
 def describe(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum, one row per (groups, column)."""
     stats = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}

@@ -163,5 +163,5 @@ def monitor(spark: SparkSession, root: str, model_name: str, mode: str = "maturi
     """Monthly quality of the stored predictions against the labels that came in later."""
     predictions = tables.read_table(spark, f"{root}/gold/model_predictions").where(F.col("model_name") == model_name)
     outcomes = metrics.join_outcomes(predictions, tables.read_table(spark, f"{root}/gold/label_store"), mode, mob)
-    report = metrics.monitoring(outcomes, weight="weight").orderBy("month")
-    return sinks.write_report(report, f"{root}/gold/model_monitoring/{model_name}")
+    report = metrics.monitoring(outcomes, weight="weight")
+    return sinks.write_report(report, f"{root}/gold/model_monitoring/{model_name}", ["month"])

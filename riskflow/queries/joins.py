@@ -278,3 +278,26 @@ def finite_values(t: Tables) -> DataFrame:
         F.round(S.finite(infinite), 6).alias("tax_share"),
         S.clip("l_quantity", 5.0, 40.0).alias("quantity"),
     )
+
+
+@query(
+    "scalar_functions",
+    """SELECT o_orderkey, ROUND(LOG10(o_totalprice + 1), 6) AS log_price, CAST(CEIL(o_totalprice / 1000) AS BIGINT) AS up,
+    CAST(FLOOR(o_totalprice / 1000) AS BIGINT) AS down, ROUND(ABS(o_totalprice - 100000), 2) AS distance,
+    CAST(o_orderdate - INTERVAL 3 MONTH AS DATE) AS quarter_before, CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS month,
+    LOWER(TRIM(o_orderpriority)) AS priority, LENGTH(o_orderpriority) AS size, REPLACE(o_orderpriority, '-', '_') AS slug FROM orders""",
+)
+def scalar_functions(t: Tables) -> DataFrame:
+    price, day = F.col("o_totalprice"), F.to_date("o_orderdate")
+    return t["orders"].select(
+        "o_orderkey",
+        F.round(F.log10(price + 1), 6).alias("log_price"),
+        F.ceil(price / 1000).alias("up"),
+        F.floor(price / 1000).alias("down"),
+        F.round(F.abs(price - 100000), 2).alias("distance"),
+        F.add_months(day, -3).alias("quarter_before"),
+        F.trunc(day, "MM").alias("month"),
+        F.lower(F.trim("o_orderpriority")).alias("priority"),
+        F.length("o_orderpriority").cast("bigint").alias("size"),
+        F.regexp_replace("o_orderpriority", "-", "_").alias("slug"),
+    )

@@ -94,6 +94,31 @@ def top_values(t: Tables) -> DataFrame:
     return G.top_values(t["part"], "p_brand", 15)
 
 
+_CATEGORIES = ("p_brand", "p_type", "p_name")
+
+
+@query(
+    "top_categories",
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {c} AS value, COUNT(*) AS n,
+        CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {c}) AS INT) AS rank FROM part GROUP BY {c}"""
+        for c in _CATEGORIES
+    )
+    + ") WHERE rank <= 10",
+)
+def top_categories(t: Tables) -> DataFrame:
+    return P.top_categories(t["part"], _CATEGORIES)
+
+
+@query(
+    "ordered_sample",
+    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 500",
+)
+def ordered_sample(t: Tables) -> DataFrame:
+    return t["orders"].select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(500)
+
+
 _STATS = """COUNT({c}) AS n, ROUND(AVG({c}), 4) AS mean, ROUND(STDDEV_SAMP({c}), 6) AS std, MIN({c}) AS min, MAX({c}) AS max,
  ROUND(QUANTILE_CONT({c}, 0.25), 4) AS p25, ROUND(QUANTILE_CONT({c}, 0.5), 4) AS p50, ROUND(QUANTILE_CONT({c}, 0.75), 4) AS p75"""
 

@@ -33,9 +33,11 @@ def write_predictions(predictions: DataFrame, root: str, format: str = "csv") ->
     return write_snapshots(predictions, root, ["model_name", "snapshot_date"], format=format)
 
 
-def write_report(report: DataFrame, path: str, format: str = "csv") -> str:
-    """A small table (one row per month or threshold) as one file."""
-    writer = report.coalesce(1).write.mode("overwrite").format(format)
+def write_report(report: DataFrame, path: str, order_by: Sequence[str] = (), format: str = "csv") -> str:
+    """A small table (one row per month or threshold) as one file. Only its finished rows are gathered; the work
+    that makes them keeps its own partitions."""
+    one = report.repartition(1)
+    writer = (one.sortWithinPartitions(*order_by) if order_by else one).write.mode("overwrite").format(format)
     if format == "csv":
         writer = writer.option("header", True)
     writer.save(path)

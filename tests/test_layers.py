@@ -143,3 +143,14 @@ def test_search_space():
     assert len(M.LR_SPACE["C"]) == 10 and round(M.LR_SPACE["C"][0], 6) == 0.001 and round(M.LR_SPACE["C"][-1]) == 1000
     assert M.draw(M.LR_SPACE, 10) == M.draw(M.LR_SPACE, 10)
     assert len(M.draw(M.LR_SPACE, 10)) == 10 and len(M.draw(M.LR_SPACE, 1000)) == 20
+
+
+def test_boosted_search(spark, root):
+    data = spark.read.parquet(f"{root}/models/training_sets/credit_model_LR_2024_03_01")
+    names = ["DTI", "Outstanding_Debt", "fe_1_sum_30d"]
+    found = M.search(data.where("split = 'train'"), names, kind="gbt", key="row_key", n_trials=1, folds=2)
+    assert len(found.trials) == 1 and found.cv_auc > 0.7
+    assert M.overfit(found.model, data).first().train_auc > 0.7
+    weighted = M.fit_boosted(data.where("split = 'train'"), names, maxIter=5, maxDepth=2)
+    auc = {r.split: r.auc for r in M.evaluate(weighted, data).collect()}
+    assert auc["oot"] > 0.7

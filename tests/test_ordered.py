@@ -69,3 +69,14 @@ def test_first_rows_are_limited_before_the_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit [") == 2
     assert out.where("k = 0").first().id == 89 and out.count() == 11
+
+
+def test_one_scan_and_rows_spread_by_part(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    spark.range(1000).selectExpr("id % 3 AS g", "id / 1000 AS v").write.parquet(path)
+    counts = spark.read.parquet(path).groupBy("g", "v").agg(F.count("*").alias("n"))
+    out = cumulate(counts, "v", ["n"], ["g"])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1
+    assert "REPARTITION_BY_COL" in plan
