@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit riskflow/jobs.py <step> --root <folder> ...``."""
+"""Command line: ``python -m riskflow.jobs <step> --root <folder> ...``."""
 
 from __future__ import annotations
 

@@ -78,24 +78,33 @@ def stratified_split(
     """Add train/test so that each class has exactly floor(ratio * n) training rows.
 
     Rows are ordered by a hash of their key (``key`` is unique). Counting rows per hash prefix finds, for each
-    class, the prefix in which the quota is reached; only rows with that prefix are ranked. The result is one
-    cut-off per class, at most ``len(strata)`` rows, which is broadcast. The table itself is not shuffled.
+    class, the prefix in which the quota is reached; within it a longer prefix is found the same way, and only the
+    rows with that one, one in 16 million, are ranked. The result is one cut-off per class, at most
+    ``len(strata)`` rows, which is broadcast. The table itself is not shuffled.
     """
     tagged = df.withColumn("__hash", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))))
     known = tagged.where(F.col(label).isin(list(strata))).select(label, "__hash", F.col(key).alias("__key"))
-    known = known.withColumn("__prefix", F.substring("__hash", 1, 5))
-    sizes = known.groupBy(label, "__prefix").agg(F.count(F.lit(1)).alias("__n"))
+    known = known.withColumns({"__p1": F.substring("__hash", 1, 3), "__p2": F.substring("__hash", 4, 3)})
     whole = Window.partitionBy(label)
-    upto = whole.orderBy("__prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    quota = F.floor(F.lit(float(ratio)) * F.sum("__n").over(whole))
-    edge = (
-        sizes.withColumns({"__quota": quota, "__upto": F.sum("__n").over(upto)})
-        .where("__upto >= __quota AND __upto - __n < __quota")
-        .select(label, "__prefix", (F.col("__quota") - F.col("__upto") + F.col("__n")).alias("__take"))
-    )
-    order = Window.partitionBy(label).orderBy("__hash", "__key")
+
+    def edge(sizes: DataFrame, prefix: str, quota: Column) -> DataFrame:
+        """Per class: the prefix in which the quota is reached, and how many of its rows are needed."""
+        upto = whole.orderBy(prefix).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return (
+            sizes.withColumns({"__quota": quota, "__upto": F.sum("__n").over(upto)})
+            .where("__upto >= __quota AND __upto - __n < __quota")
+            .select(label, prefix, (F.col("__quota") - F.col("__upto") + F.col("__n")).alias("__take"))
+        )
+
+    count = F.count(F.lit(1)).alias("__n")
+    share = F.floor(F.lit(float(ratio)) * F.sum("__n").over(whole))
+    outer = edge(known.groupBy(label, "__p1").agg(count), "__p1", share)
+    near = known.join(F.broadcast(outer), [label, "__p1"]).repartition(label, "__p2")
+    inner = edge(near.groupBy(label, "__p2").agg(count, F.max("__take").alias("__take")), "__p2", F.max("__take").over(whole))
+    order = whole.orderBy("__hash", "__key")
     cut = (
-        known.join(F.broadcast(edge), [label, "__prefix"])
+        near.drop("__take")
+        .join(F.broadcast(inner), [label, "__p2"])
         .withColumn("__rank", F.row_number().over(order))
         .where("__rank = __take")
         .select(label, F.col("__hash").alias("__cut_hash"), F.col("__key").alias("__cut_key"))
