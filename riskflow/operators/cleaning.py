@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, FloatType, NumericType, StringType, StructType
+from pyspark.sql.types import FloatType, NumericType, StringType, StructType
 
 from riskflow.constants import LOAN_TYPES, PAYMENT_BEHAVIOURS
 from riskflow.functions import scalars as S
@@ -222,7 +222,3 @@ def invalid_categories(df: DataFrame, allowed: Mapping[str, Sequence[str]]) -> D
     """Per column: rows outside the allowed values."""
     wide = df.agg(*[F.count_if(~F.col(c).isin(list(v)) | F.col(c).isNull()).alias(c) for c, v in allowed.items()])
     return wide_as_long(wide, {c: {"n_invalid": c} for c in allowed})
-
-
-def to_date_or_null(column: str) -> Column:
-    return F.col(column).try_cast(DateType())

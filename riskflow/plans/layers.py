@@ -13,7 +13,7 @@ from riskflow.operators import applications as apps
 from riskflow.operators import dataset, labels, metrics, modeling
 from riskflow.operators.cleaning import CLEANERS, Cast, apply_casts, require_columns
 from riskflow.operators.features import build_features, top_values
-from riskflow.schemas import SOURCES
+from riskflow.schemas import PREDICTIONS, SOURCES
 from riskflow.sources import sinks, tables
 
 
@@ -147,7 +147,9 @@ def train(
     return path
 
 
-def score(spark: SparkSession, root: str, model_name: str, dates: Sequence[date | str] | None = None) -> str:
+def score(
+    spark: SparkSession, root: str, model_name: str, dates: Sequence[date | str] | None = None, format: str = "parquet"
+) -> str:
     """Predictions of the newest model for some months (or all), in one plan."""
     model = modeling.latest_model(spark, f"{root}/models/model_runs", model_name)
     features = tables.read_table(spark, f"{root}/gold/feature_store")
@@ -156,12 +158,15 @@ def score(spark: SparkSession, root: str, model_name: str, dates: Sequence[date
     assembler = next(s for s in model.stages if s.hasParam("inputCols"))
     features = features.fillna(0, subset=assembler.getInputCols())
     out = modeling.predictions(model, features, model_name)
-    return sinks.write_snapshots(out, f"{root}/gold/model_predictions", ["model_name", "snapshot_date"])
+    return sinks.write_predictions(out, f"{root}/gold/model_predictions", format)
 
 
-def monitor(spark: SparkSession, root: str, model_name: str, mode: str = "maturity", mob: int = 1) -> str:
+def monitor(
+    spark: SparkSession, root: str, model_name: str, mode: str = "maturity", mob: int = 1, format: str = "parquet"
+) -> str:
     """Monthly quality of the stored predictions against the labels that came in later."""
-    predictions = tables.read_table(spark, f"{root}/gold/model_predictions").where(F.col("model_name") == model_name)
+    stored = tables.read_table(spark, f"{root}/gold/model_predictions", schema=PREDICTIONS, format=format)
+    predictions = stored.where(F.col("model_name") == model_name)
     outcomes = metrics.join_outcomes(predictions, tables.read_table(spark, f"{root}/gold/label_store"), mode, mob)
     report = metrics.monitoring(outcomes, weight="weight")
     return sinks.write_report(report, f"{root}/gold/model_monitoring/{model_name}", ["month"])

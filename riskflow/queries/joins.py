@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.functions import scalars as S
 from riskflow.operators import dataset as D
 from riskflow.operators import profiling as P
 from riskflow.operators.cleaning import fill_numeric
@@ -246,10 +247,8 @@ def drop_null_rows(t: Tables) -> DataFrame:
     ROUND(COALESCE(fe_1, 0) + COALESCE(fe_2, 0) + COALESCE(fe_3, 0) + COALESCE(fe_4, 0), 4) AS total_activity FROM clicks""",
 )
 def fill_numeric_columns(t: Tables) -> DataFrame:
-    from riskflow.functions.scalars import row_sum
-
     names = [f"fe_{i}" for i in range(1, 5)]
-    filled = fill_numeric(V.clicks(t).withColumn("total_activity", row_sum(names)), 0, ["customer_id"])
+    filled = fill_numeric(V.clicks(t).withColumn("total_activity", S.row_sum(names)), 0, ["customer_id"])
     return filled.withColumns({c: F.round(c, 4) for c in [*names, "total_activity"]})
 
 
@@ -269,8 +268,6 @@ def fill_by_column(t: Tables) -> DataFrame:
     LEAST(GREATEST(l_quantity, 5.0), 40.0) AS quantity FROM lineitem""",
 )
 def finite_values(t: Tables) -> DataFrame:
-    from riskflow.functions import scalars as S
-
     infinite = F.when(F.col("l_discount") == 0, F.lit(float("inf"))).otherwise(F.col("l_tax") / F.col("l_discount"))
     return t["lineitem"].select(
         "l_orderkey",

@@ -29,7 +29,7 @@ def write_snapshots(
     return root
 
 
-def write_predictions(predictions: DataFrame, root: str, format: str = "csv") -> str:
+def write_predictions(predictions: DataFrame, root: str, format: str = "parquet") -> str:
     return write_snapshots(predictions, root, ["model_name", "snapshot_date"], format=format)
 
 

@@ -5,7 +5,7 @@ from datetime import date
 
 import pytest
 
-from riskflow import jobs
+from riskflow import jobs, schemas
 from riskflow.operators import modeling as M
 from riskflow.plans import layers
 from riskflow.sources import tables
@@ -104,13 +104,24 @@ def test_model_finds_the_driver(spark, root):
     assert M.coefficients(model, names, spark).first().feature in {"DTI", "Outstanding_Debt"}
 
 
+def test_store_schemas(spark, root):
+    for name, schema in (
+        ("label_store", schemas.LABELS),
+        ("model_predictions", schemas.PREDICTIONS),
+        ("application_store", schemas.APPLICATIONS),
+    ):
+        got = {f.name: f.dataType for f in tables.read_table(spark, f"{root}/gold/{name}").schema}
+        # Partition values that look like a date are read as one, a model name as text.
+        assert got == {f.name: f.dataType for f in schema}
+
+
 def test_predictions_and_report(spark, root):
     predictions = tables.read_table(spark, f"{root}/gold/model_predictions")
     assert predictions.where("model_predictions NOT BETWEEN 0 AND 1").count() == 0
     assert predictions.count() == PER_MONTH * (len(MONTHS) - 1)
     report = tables.read_table(spark, f"{root}/gold/model_monitoring/credit_model_LR", format="csv")
     assert report.count() == len(MONTHS) - 1
-    assert report.columns[:4] == ["month", "n_samples", "AUC", "Gini"]
+    assert report.columns == schemas.MONITORING.fieldNames()
 
 
 def test_unknown_model(spark, root):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from riskflow.operators import applications as A
 from riskflow.operators import labels as L
+from riskflow.schemas import PREDICTIONS
 from riskflow.session import scratch_dir
 from riskflow.sources import sinks, tables
 from riskflow.streaming.incremental import refresh_snapshots
@@ -82,9 +83,9 @@ def test_csv(spark, tmp_path):
 
 def test_prediction_sink(spark, tmp_path):
     df = spark.createDataFrame([("c1", JAN, "LR", 0.5)], "Customer_ID string, snapshot_date date, model_name string, model_predictions double")
-    path = sinks.write_predictions(df, str(tmp_path / "p"))
-    back = tables.read_table(spark, path, format="csv").first()
-    assert (back.Customer_ID, back.model_name, back.snapshot_date, back.model_predictions) == ("c1", "LR", JAN, "0.5")
+    path = sinks.write_predictions(df, str(tmp_path / "p"), "csv")
+    back = tables.read_table(spark, path, schema=PREDICTIONS, format="csv").first()
+    assert (back.Customer_ID, back.model_name, back.snapshot_date, back.model_predictions) == ("c1", "LR", JAN, 0.5)
 
 
 def test_stream_rebuilds_touched_months(spark, tmp_path):
