@@ -129,7 +129,7 @@ def stream_refresh(t: Tables) -> DataFrame:
 @query(
     "csv_round_trip",
     """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-    CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS snapshot_date, 1 AS n_files FROM orders""",
+    CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS snapshot_date, 1 AS from_root FROM orders""",
 )
 def csv_round_trip(t: Tables) -> DataFrame:
     """Raw text files with a header, read without inference; every row knows its file."""
@@ -140,7 +140,7 @@ def csv_round_trip(t: Tables) -> DataFrame:
         "o_orderkey",
         "o_custkey",
         F.col("snapshot_date").try_cast("date").alias("snapshot_date"),
-        F.col("source_file").contains(root).cast("int").alias("n_files"),
+        F.col("source_file").contains(root).cast("int").alias("from_root"),
     )
 
 

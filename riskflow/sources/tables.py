@@ -115,8 +115,13 @@ def missing_dates(source: DataFrame, target: DataFrame | None, column: str = "sn
     return dates.join(target.select(column).distinct(), column, "left_anti")
 
 
+def on_dates_of(df: DataFrame, dates: DataFrame, column: str = "snapshot_date") -> DataFrame:
+    """Rows of some dates. The dates are read first (a calendar is short), so that the filter is a list of
+    literals that prunes partitions; a join would read every partition."""
+    days = [r[0] for r in dates.select(column).distinct().collect()]
+    return df.where(F.col(column).isin(days) if days else F.lit(False))
+
+
 def only_new(source: DataFrame, target: DataFrame | None, column: str = "snapshot_date") -> DataFrame:
     """Rows of the source whose date the target does not hold yet."""
-    if target is None:
-        return source
-    return source.join(target.select(column).distinct(), column, "left_anti")
+    return source if target is None else on_dates_of(source, missing_dates(source, target, column), column)

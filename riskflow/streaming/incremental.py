@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from riskflow.sources.sinks import write_snapshots
+from riskflow.sources.tables import on_dates_of
 
 
 def refresh_snapshots(
@@ -32,8 +33,8 @@ def refresh_snapshots(
 
     def rebuild(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        dates = batch.select(date).where(F.col(date).isNotNull()).distinct()
-        rows = session.read.schema(schema).options(**options).format(format).load(source).join(dates, date, "left_semi")
+        files = session.read.schema(schema).options(**options).format(format).load(source)
+        rows = on_dates_of(files, batch.where(F.col(date).isNotNull()), date)
         write_snapshots(clean(rows), target, date)
 
     query = (

@@ -63,6 +63,14 @@ def test_new_dates(spark, root):
     assert tables.only_new(source, None).count() == 2 and tables.missing_dates(source, None).count() == 2
 
 
+def test_new_dates_prune_the_source(spark, root, tmp_path):
+    held = spark.createDataFrame([(JAN, 0)], "snapshot_date date, v int")
+    new = tables.only_new(tables.read_table(spark, root), held)
+    assert [r.v for r in new.collect()] == [3]
+    assert "PartitionFilters: [isnotnull(snapshot_date" in new._jdf.queryExecution().executedPlan().toString()
+    assert tables.only_new(held, tables.read_table(spark, root)).count() == 0
+
+
 def test_months(spark):
     assert tables.month_list("2023-01-15", "2023-03-01") == [D("2023-01-01"), D("2023-02-01"), D("2023-03-01")]
     assert len(tables.month_list("2023-01-01", "2024-12-01")) == 24
