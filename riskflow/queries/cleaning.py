@@ -12,6 +12,7 @@ from riskflow.operators import profiling as P
 from riskflow.operators.ordered import first_rows
 from riskflow.queries import views as V
 from riskflow.queries.registry import Tables, query
+from riskflow.schemas import SOURCES
 
 
 @query(
@@ -290,3 +291,51 @@ def emi(t: Tables) -> DataFrame:
     columns["estimated_EMI"] = F.round(columns["estimated_EMI"], 4)
     columns["EMI_to_income"] = F.round(columns["EMI_to_income"], 6)
     return joined.select("loan_id", *[c.alias(n) for n, c in columns.items()])
+
+
+# ---- a whole cleaner ----
+
+_SILVER_COLUMNS = (
+    "Customer_ID", "snapshot_date", "asof_date", "Annual_Income", "Outstanding_Debt", "Num_of_Delayed_Payment", "DTI",
+    "Payment_Behaviour", "Credit_History_Age_Year", "Credit_History_Age_Month", "loan_type__AutoLoan",
+    "loan_type__PaydayLoan", "loan_type__StudentLoan", "loan_type_count",
+)
+
+
+@query(
+    "silver_financials",
+    f"""WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS "Customer_ID", CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS m,
+      o_totalprice AS income, CAST(o_orderkey AS DOUBLE) AS debt, CAST(SUBSTR(o_orderpriority, 1, 1) AS INT) AS delayed,
+      o_orderstatus AS st, {_BEHAVIOUR_SQL} AS behaviour, o_orderkey AS k FROM orders),
+    d AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY "Customer_ID", m ORDER BY income DESC, k DESC) AS rn FROM r)
+    SELECT "Customer_ID", m AS snapshot_date, m AS asof_date, income AS "Annual_Income", debt AS "Outstanding_Debt",
+      delayed AS "Num_of_Delayed_Payment", ROUND(CASE WHEN income > 0 THEN debt / income END, 8) AS "DTI",
+      CASE WHEN TRIM(behaviour) IN ({', '.join(f"'{v}'" for v in PAYMENT_BEHAVIOURS)}) THEN TRIM(behaviour) ELSE 'Unknown' END
+        AS "Payment_Behaviour",
+      CASE WHEN st = 'F' THEN NULL ELSE CAST(k % 30 AS DOUBLE) END AS "Credit_History_Age_Year",
+      CAST(k % 12 AS INT) AS "Credit_History_Age_Month",
+      CASE WHEN st <> 'O' THEN 1 ELSE 0 END AS "loan_type__AutoLoan", CASE WHEN st = 'P' THEN 1 ELSE 0 END AS "loan_type__PaydayLoan",
+      0 AS "loan_type__StudentLoan", CASE st WHEN 'P' THEN 2 WHEN 'F' THEN 1 ELSE 0 END AS loan_type_count
+    FROM d WHERE rn = 1""",
+)
+def silver_financials(t: Tables) -> DataFrame:
+    """Dirty text of every order through the cleaner of the financials table."""
+    status, key, priority = F.col("o_orderstatus"), F.col("o_orderkey"), F.col("o_orderpriority")
+    months = F.concat(key % 12, F.lit(" Months"))
+    raw = t["orders"].select(
+        F.col("o_custkey").cast("string").alias("Customer_ID"),
+        F.concat(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit("_")).alias("Annual_Income"),
+        F.concat(F.lit(" "), key.cast("string"), F.lit(" ")).alias("Outstanding_Debt"),
+        F.concat(F.substring(priority, 1, 1), F.lit("_")).alias("Num_of_Delayed_Payment"),
+        F.when(status == "P", "Auto Loan, and Payday Loan").when(status == "F", "Auto Loan").alias("Type_of_Loan"),
+        F.when(status == "F", months).otherwise(F.concat(key % 30, F.lit(" Years and "), months)).alias("Credit_History_Age"),
+        F.when(priority == "1-URGENT", " Low_spent_Small_value_payments ")
+        .when(priority == "2-HIGH", "High_spent_Large_value_payments")
+        .when(priority == "3-MEDIUM", "!@9#%8")
+        .when(priority == "5-LOW", "Low_spent")
+        .otherwise("NA")
+        .alias("Payment_Behaviour"),
+        F.trunc(F.to_date("o_orderdate"), "MM").cast("string").alias("snapshot_date"),
+    )
+    schema, keys = SOURCES["features_financials"]
+    return C.clean_financials(raw, schema, keys).withColumn("DTI", F.round("DTI", 8)).select(*_SILVER_COLUMNS)
