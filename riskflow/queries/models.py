@@ -93,6 +93,7 @@ def model_runs(t: Tables) -> DataFrame:
     """The run log after two trainings, newest model loaded by name."""
     base = scratch_dir(t.spark, "runs")
     model, data = _fitted(t)
+    metrics = M.evaluate(model, data).persist()
     for day in ("2024-07-01", "2024-08-01"):
         path = f"{base}/lr_{day}"
         model.write().overwrite().save(path)
@@ -103,8 +104,9 @@ def model_runs(t: Tables) -> DataFrame:
             model_path=path,
             train_date=day,
             parameters={"C": 1.0, "penalty": "l2"},
-            metrics=M.evaluate(model, data),
+            metrics=metrics,
             sizes=D.split_stats(data),
         )
+    metrics.unpersist()
     M.latest_model(t.spark, f"{base}/log", "LR")
     return t.spark.read.parquet(f"{base}/log").drop("created_at", "model_path")

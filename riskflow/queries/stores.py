@@ -140,7 +140,7 @@ def csv_round_trip(t: Tables) -> DataFrame:
         "o_orderkey",
         "o_custkey",
         F.col("snapshot_date").try_cast("date").alias("snapshot_date"),
-        F.col("source_file").contains(root).cast("int").alias("from_root"),
+        F.col("source_file").contains(root.rsplit("/", 1)[-1]).cast("int").alias("from_root"),
     )
 
 
