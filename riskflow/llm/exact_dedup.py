@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import WHITE, text_of
+from riskflow.llm.common import WHITE, saved, text_of
 
 
 def exact_dedup(
@@ -21,8 +21,8 @@ def exact_dedup(
     Texts are equal when they are the same bytes after each run of white space became one space. Rows are grouped by
     the 128-bit content hash; the text itself is part of the grouping key, so rows of one hash are compared byte by
     byte and a collision gives two groups. The grouping starts inside each input partition: of a text that a third of
-    all rows share, a task sends one copy. Rows find their group by (hash, SHA-256); two different texts with both
-    values equal would stop the job.
+    all rows share, a task sends one copy. Groups of two or more are written, then rows find theirs by (hash, SHA-256),
+    in a join whose large keys adaptive execution can split; two different texts with both values equal would stop the job.
 
     Null and empty texts are equal. The smallest id stays; rows that repeat it are all marked kept. Null ids never
     win over others, and form a kept group if there is no other id. An empty table gives no rows. Further columns of
@@ -43,12 +43,15 @@ def exact_dedup(
             .otherwise(F.raise_error(F.lit("two texts share both digests")).cast("long"))
             .alias("__n"),
         )
+        .where("__n > 1")
     )
-    return keyed.drop("__text").join(classes, ["__hash", "__sha"]).select(
+    groups = saved(classes, "groups")
+    alone = F.col("__n").isNull()
+    return keyed.drop("__text").join(groups, ["__hash", "__sha"], "left").select(
         F.col("__id").alias(id_col),
-        F.col("__keep").alias("keep_id"),
-        F.col("__n").alias("group_size"),
-        F.col("__id").eqNullSafe(F.col("__keep")).alias("kept"),
+        F.when(alone, F.col("__id")).otherwise(F.col("__keep")).alias("keep_id"),
+        F.coalesce("__n", F.lit(1)).cast("long").alias("group_size"),
+        (alone | F.col("__id").eqNullSafe(F.col("__keep"))).alias("kept"),
         F.col("__sha").alias("text_sha256"),
     )
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from riskflow.llm import decontaminate as D
 from riskflow.llm import exact_dedup as X
-from riskflow.llm import warc
+from riskflow.llm import packing, toxicity, warc
 from riskflow.queries.registry import Query, Tables
 from riskflow.session import scratch_dir
 
@@ -46,5 +48,53 @@ def op10_exact_dedup(t: Tables) -> DataFrame:
 )
 def op7_warc(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "warc")
-    warc.write_archive(warc.records(t["pages"]), path)
+    warc.write_archive(warc.bodies(t["pages"]), path)
     return warc.described(warc.read_archive(t.spark, path))
+
+
+@query("op9_toxicity")
+def op9_toxicity(t: Tables) -> DataFrame:
+    model = toxicity.train(t["documents"], t["labels"])
+    return toxicity.score(t["documents"], model).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query("op5_packing")
+def op5_packing(t: Tables) -> DataFrame:
+    pieces = packing.pack(t["documents"])
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
+
+
+@query(
+    "op6_decontamination",
+    """
+    WITH lower_d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+         lower_b AS (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark),
+         d AS (SELECT doc_id, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM lower_d),
+         b AS (SELECT item_id, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM lower_b),
+         sized AS (SELECT item_id, w, least(len(w), 13) AS k FROM b WHERE len(w) > 0),
+         starts AS (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM sized),
+         windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM starts),
+         lens AS (SELECT DISTINCT k FROM windows),
+         places AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, lens WHERE len(w) >= k),
+         found AS (SELECT p.doc_id, p.i, p.k, x.item_id FROM places p JOIN windows x ON x.k = p.k AND x.g = array_to_string(p.w[p.i:p.i + p.k - 1], ' ')),
+         spread AS (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM found),
+         hit AS (SELECT doc_id, count(DISTINCT pos) AS n FROM spread GROUP BY doc_id),
+         ids AS (SELECT doc_id, list_sort(list_distinct(list(item_id::VARCHAR))) AS l FROM found GROUP BY doc_id)
+    SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(len(ids.l), 0)::BIGINT AS n_items,
+           sha256(coalesce(array_to_string(ids.l, ','), '')) AS items_sha256,
+           coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(d.w) AS contaminated
+    FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
+    """,
+)
+def op6_decontamination(t: Tables) -> DataFrame:
+    found = D.find_benchmark(t["documents"], t["benchmark"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        D.contaminated().alias("contaminated"),
+    )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow.llm.common import saved
+
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -15,58 +17,55 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), plain, F.lit(CRLF)), F.lit(""))
 
 
-def records(
-    pages: DataFrame,
-    id_col: str = "page_id",
-    url_col: str = "url",
-    body_col: str = "html",
-    *,
-    date: str = "1970-01-01T00:00:00Z",
-    min_revisit_bytes: int = 100,
-) -> DataFrame:
-    """One WARC record per row: ``header`` (exact bytes as text, up to and including the empty line), ``digest``, ``payload``.
-
-    Of the rows with equal payloads of at least ``min_revisit_bytes``, that with the smallest id is the response, the
-    others are revisits that refer to it; smaller payloads are all responses. A null body is an empty payload, a null
-    url leaves its line out. Rows that repeat the smallest id are all responses; a null id is never the smallest.
-    Extra columns are ignored.
-    """
+def bodies(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
+    """One row per page: ``id``, ``url``, ``digest``, ``size`` in bytes, ``payload``. A null body is an empty payload."""
     body = pages.select(
-        F.col(id_col).cast("long").alias("__id"),
-        F.col(url_col).cast("string").alias("__url"),
+        F.col(id_col).cast("long").alias("id"),
+        F.col(url_col).cast("string").alias("url"),
         F.coalesce(F.col(body_col).cast("binary"), F.lit("").cast("binary")).alias("payload"),
     )
-    keyed = body.withColumn("digest", F.sha2("payload", 256))
+    return body.select("id", "url", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").alias("size"), "payload")
+
+
+def headers(body: DataFrame, *, date: str = "1970-01-01T00:00:00Z", min_revisit_bytes: int = 100) -> DataFrame:
+    """One WARC header per row of ``bodies``: ``header`` (exact bytes as text, up to and including the empty line), ``digest``.
+
+    Of the rows with equal payloads of at least ``min_revisit_bytes``, that with the smallest id is the response, the
+    others are revisits that refer to it; smaller payloads are all responses. A null url leaves its line out. Rows that
+    repeat the smallest id are all responses; a null id is never the smallest. No payload is moved for this.
+    """
+    rows = body.select("id", "url", "digest", "size")
     first = (
-        keyed.where(F.octet_length("payload") >= min_revisit_bytes)
+        rows.where(F.col("size") >= min_revisit_bytes)
         .groupBy(F.col("digest").alias("__digest"))
-        .agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
-        .where("__n > 1")
+        .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
     )
-    revisit = F.col("__first").isNotNull() & ~F.col("__id").eqNullSafe(F.col("__first"))
+    revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     uri = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     header = F.concat(
         F.lit(f"WARC/1.1{CRLF}"),
         _line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        _line("WARC-Record-ID", uri("__id")),
+        _line("WARC-Record-ID", uri("id")),
         _line("WARC-Date", F.lit(date)),
-        _line("WARC-Target-URI", F.col("__url")),
+        _line("WARC-Target-URI", F.col("url")),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        _line("WARC-Refers-To", F.when(revisit, uri("__first"))),
+        _line("WARC-Refers-To", F.when(revisit, uri("first"))),
         _line("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
         _line("Content-Type", F.lit("text/html; charset=utf-8")),
-        _line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.octet_length("payload")).cast("string")),
+        _line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("size")).cast("string")),
         F.lit(CRLF),
     )
-    return keyed.join(first, F.col("digest") == F.col("__digest"), "left").select(header.alias("header"), "digest", "payload")
+    groups = saved(first, "first_pages")
+    return rows.join(groups, F.col("digest") == F.col("__digest"), "left").select(header.alias("header"), "digest")
 
 
-def write_archive(rows: DataFrame, path: str) -> None:
-    """Headers and payloads of ``records`` below ``path``. A digest is stored once; the payload is part of the grouping
-    key, so equal digests are verified byte by byte, and two payloads of one digest stop the job. Copies are collapsed
+def write_archive(body: DataFrame, path: str, **choices) -> None:
+    """Headers and payloads of ``bodies`` below ``path``. A digest is stored once; the payload is part of the grouping
+    key, so equal digests are verified byte by byte, and two payloads of one digest stop the reader. Copies are collapsed
     inside each input partition before anything is sent."""
-    rows.select("header", "digest").write.parquet(f"{path}/headers")
-    rows.groupBy("digest", "payload").agg(F.count(F.lit(1)).alias("records")).write.parquet(f"{path}/payloads")
+    headers(body, **choices).write.parquet(f"{path}/headers")
+    body.groupBy("digest", "payload").agg(F.count(F.lit(1)).alias("records")).write.parquet(f"{path}/payloads")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
