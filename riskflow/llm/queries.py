@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import decontaminate as D
 from riskflow.llm import exact_dedup as X
-from riskflow.llm import packing, toxicity, warc
+from riskflow.llm import jaccard, packing, toxicity, warc
 from riskflow.queries.registry import Query, Tables
 from riskflow.session import scratch_dir
 
@@ -98,3 +98,8 @@ def op6_decontamination(t: Tables) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         D.contaminated().alias("contaminated"),
     )
+
+
+@query("op3_ngram_jaccard")
+def op3_ngram_jaccard(t: Tables) -> DataFrame:
+    return jaccard.near_duplicates(t["documents"]).select("doc_id", "n_shingles", "component_id", "copies")
