@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import decontaminate as D
 from riskflow.llm import exact_dedup as X
-from riskflow.llm import jaccard, packing, toxicity, warc
+from riskflow.llm import jaccard, packing, pii, toxicity, warc
 from riskflow.queries.registry import Query, Tables
 from riskflow.session import scratch_dir
 
@@ -103,3 +103,14 @@ def op6_decontamination(t: Tables) -> DataFrame:
 @query("op3_ngram_jaccard")
 def op3_ngram_jaccard(t: Tables) -> DataFrame:
     return jaccard.near_duplicates(t["documents"]).select("doc_id", "n_shingles", "component_id", "copies")
+
+
+@query("op2_pii")
+def op2_pii(t: Tables) -> DataFrame:
+    found = pii.personal_data(t["documents"])
+    return found.select(
+        "doc_id",
+        *[pii.counted("base", k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"),
+        pii.joined("spans").alias("spans"),
+    )
