@@ -212,6 +212,31 @@ def meeting_lists(texts: DataFrame, width: int, scheme: Scheme, renamed: frozens
     return kept.select("sig", F.col("entry").bitwiseAND(~1).alias("node"))
 
 
+def numbered(sets: DataFrame) -> tuple[DataFrame, frozenset[bytes]]:
+    """(digest, node, rep, version, copies, n): the distinct digests of rows (id, version, n, digest, node), with the smallest id that
+    has each. ``node`` is a number; digests that agree in its 62 bits, of which there are hardly any, get another one."""
+    least = F.min(F.struct(F.col("id").isNull(), "id", "version")).alias("least")
+    nodes = sets.where("n > 0").groupBy("digest", "node").agg(least, F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
+    nodes = saved(nodes.select("digest", "node", F.col("least.id").alias("rep"), F.col("least.version").alias("version"), "copies", "n"), "nodes")
+    doubled = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("node")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("digest"))
+    again = nodes.join(doubled, "node", "left_semi").withColumn("rank", rank).where("rank > 1")
+    renamed = frozenset(bytes(r["digest"]) for r in again.select("digest").collect())
+    if renamed:
+        other = F.udf(lambda d: _node(bytes(d), renamed), "long")
+        nodes = nodes.withColumn("node", F.when(F.col("digest").isin([bytearray(d) for d in renamed]), other("digest")).otherwise(F.col("node")))
+    return nodes, renamed
+
+
+def bodies_of(texts: DataFrame, alive: DataFrame) -> DataFrame:
+    """(node, text) of the rows (id, text, version) that stand for nodes (node, rep, version); their ids are broadcast if a
+    count shows that they are few."""
+    wanted = alive.select("rep", F.col("version").alias("of"), "node")
+    wanted = F.broadcast(wanted) if alive.count() <= BROADCAST_IDS else wanted
+    theirs = F.col("id").eqNullSafe(F.col("rep")) & (F.col("version") == F.col("of"))
+    return saved(texts.join(wanted, theirs).select("node", "text").dropDuplicates(["node"]), "bodies")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, scheme: Scheme) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar. ``a`` repeats often; its set is made once for a run of rows."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -254,24 +279,10 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("version", F.xxhash64("text"))
     run, kinds = _digests(width, texts.schema["id"].dataType.simpleString())
     sets = saved(texts.mapInArrow(run, kinds), "sets")
-    least = F.min(F.struct(F.col("id").isNull(), "id", "version")).alias("least")
-    some = least, F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")
-    nodes = sets.where("n > 0").groupBy("digest", "node").agg(*some)
-    nodes = saved(nodes.select("digest", "node", F.col("least.id").alias("rep"), F.col("least.version").alias("version"), "copies", "n"), "nodes")
-    clash = Window.partitionBy("node").orderBy("digest")
-    doubled = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("node")
-    again = nodes.join(doubled, "node", "left_semi").withColumn("rank", F.row_number().over(clash)).where("rank > 1")
-    renamed = frozenset(bytes(r["digest"]) for r in again.select("digest").collect())  # digests that agree in 62 of 128 bits
-    if renamed:
-        other = F.udf(lambda d: _node(bytes(d), renamed), "long")
-        nodes = nodes.withColumn("node", F.when(F.col("digest").isin([bytearray(d) for d in renamed]), other("digest")).otherwise(F.col("node")))
-
+    nodes, renamed = numbered(sets)
     lists = saved(meeting_lists(texts.select("text"), width, scheme, renamed), "lists")
     alive = saved(nodes.join(lists.select("node").distinct(), "node", "left_semi").select("node", "rep", "version", "n"), "alive")
-    wanted = alive.select("rep", F.col("version").alias("of"), "node")
-    wanted = F.broadcast(wanted) if alive.count() <= BROADCAST_IDS else wanted
-    theirs = F.col("id").eqNullSafe(F.col("rep")) & (F.col("version") == F.col("of"))
-    bodies = saved(texts.join(wanted, theirs).select("node", "text").dropDuplicates(["node"]), "bodies")
+    bodies = bodies_of(texts, alive)
     sizes = alive.select("node", "n")
 
     links, labels, pivots = None, None, 1

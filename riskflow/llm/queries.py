@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import decontaminate as D
 from riskflow.llm import exact_dedup as X
-from riskflow.llm import jaccard, packing, pii, toxicity, warc
+from riskflow.llm import html, jaccard, licenses, packing, pii, substring, toxicity, warc
 from riskflow.queries.registry import Query, Tables
 from riskflow.session import scratch_dir
 
@@ -114,3 +114,20 @@ def op2_pii(t: Tables) -> DataFrame:
         F.sha2(pii.joined("base"), 256).alias("base_sha256"),
         pii.joined("spans").alias("spans"),
     )
+
+
+@query("op8_html_extraction")
+def op8_html_extraction(t: Tables) -> DataFrame:
+    return html.main_text(t["pages"]).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op1_license_scan")
+def op1_license_scan(t: Tables) -> DataFrame:
+    """Documents have no paths; source and language stand for directories."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string"))
+    return licenses.scan(t["documents"].withColumn("path", path))
+
+
+@query("op4_substring_dedup")
+def op4_substring_dedup(t: Tables) -> DataFrame:
+    return substring.shared_passages(t["documents"])
