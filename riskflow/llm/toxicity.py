@@ -7,11 +7,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import saved, text_of
 
+CHUNK = 1 << 12  # features whose counts go in one row
+BROADCAST_LABELS = 1_000_000  # labelled rows (some 24 bytes each) up to which they are broadcast to the texts
 BLOCK = 1 << 18  # bytes of a text that are turned into n-grams at once
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -92,63 +95,76 @@ def train(
 ) -> Model:
     """Fit on the labelled rows outside the held-out fold. Only texts enter a feature.
 
-    One pass over the labelled texts counts the features of each label (summed by Spark; at most 2**bits rows reach the
-    driver) and writes the features of the sample. The fit runs in one task on that bounded sample, weighted back to the
+    One pass over the labelled texts counts the features of each label (summed by Spark; two counts for each of the
+    2**bits features reach the driver) and writes the sample. The fit runs in one task on that bounded sample, weighted back to the
     label counts. Without labels every score is near 0; with one label all scores follow it.
     """
-    spark, size = docs.sparkSession, 1 << settings.bits
+    size = 1 << settings.bits
     chosen = saved(training_labels(labels, id_col, label_col), "labels")
     n = {r["__label"]: r["n"] for r in chosen.groupBy("__label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    positive, negative = n.get(1, 0), n.get(0, 0)
-    prior = float(np.log((positive + 1e-6) / (negative + 1)))
-    if not positive or not negative:
-        return Model(settings, np.zeros(size, np.float32), prior)
-    rate = {k: min(1.0, settings.sample_rows / 2 / v) for k, v in n.items()}
+    rate = {k: min(1.0, settings.sample_rows / 2 / n.get(k, 1)) for k in (0, 1)}
     draw = F.pmod(F.xxhash64("__id", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
     keyed = chosen.withColumn("__fit", draw < F.when(F.col("__label") == 1, rate[1]).otherwise(rate[0]))
+    keyed = F.broadcast(keyed) if sum(n.values()) <= BROADCAST_LABELS else keyed
     texts = docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__text")).where(~held_out("__id"))
     joined = texts.join(keyed, "__id").select("__id", "__text", "__label", "__fit")
+    names = ["kind", "label", "key", "text", "task", "chunk", "counts"]
+    kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.binary()]
+    pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, totals, rows = Features(settings), np.zeros((2, size), np.int64), np.zeros(2, np.int64)
-        names = ["kind", "label", "key", "bucket", "pos", "neg", "features"]
-        kinds = [pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-        pack = lambda cols: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
         for batch in batches:
-            sample = []
-            for key, text, label, fit in zip(*(batch.column(i) for i in range(4))):
-                at, y = features(text.as_py()), label.as_py()
-                totals[y, at] += 1
-                rows[y] += 1
-                if fit.as_py():
-                    sample.append((y, hash_key(key.as_py()), at.tobytes()))
-                if len(sample) >= 500:
-                    yield pack(_sample_columns(sample))
-                    sample = []
-            if sample:
-                yield pack(_sample_columns(sample))
-        at = np.flatnonzero(totals.sum(0))
-        for i in range(0, len(at), 50_000):
-            part, k = at[i : i + 50_000], len(at[i : i + 50_000])
-            yield pack([["count"] * k, [None] * k, [None] * k, part, totals[1, part], totals[0, part], [None] * k])
-
-    out = "kind string, label int, key long, bucket int, pos long, neg long, features binary"
-    parts = saved(joined.mapInArrow(counted, out), "toxicity", ["kind"])
-    summed = parts.where("kind = 'count'").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).toArrow()
-    ratios = log_count_ratios(summed, settings, positive, negative)
-    weight = {k: v / (positive + negative) / rate[k] for k, v in ((0, 1.0), (1, 1.0))}
+            for i in range(0, batch.num_rows, 500):
+                sample = []
+                for key, text, label, fit in zip(*(batch.slice(i, 500).column(c) for c in range(4))):
+                    rows[label.as_py()] += 1
+                    totals[label.as_py(), features(text.as_py())] += 1
+                    if fit.as_py():
+                        sample.append(("row", label.as_py(), hash_key(key.as_py()), text.as_py(), None, None, None))
+                if sample:
+                    yield pack(sample)
+        if rows.any():
+            tables = [(-1, rows)] + [(c, totals[:, c * CHUNK : (c + 1) * CHUNK]) for c in range(-(-size // CHUNK))]
+            yield pack([("count", None, None, None, TaskContext.get().partitionId(), c, x.tobytes()) for c, x in tables])
+
+    parts = saved(joined.mapInArrow(counted, "kind string, label int, key long, text string, task long, chunk int, counts binary"), "toxicity", ["kind"])
+    summed = parts.where("kind = 'count'").select("task", "chunk", "counts")
+    for _ in range(3):  # sums of 256 tables at a time: enough for 16 million tasks
+        summed = summed.withColumn("task", F.expr("task div 256")).groupBy("task", "chunk").applyInArrow(added, "task long, chunk int, counts binary")
+    totals, found = np.zeros((2, size), np.int64), np.zeros(2, np.int64)
+    for r in summed.collect():
+        part = np.frombuffer(r["counts"], np.int64).reshape(2, -1)
+        if r["chunk"] < 0:
+            found += part[:, 0]
+        else:
+            totals[:, r["chunk"] * CHUNK : r["chunk"] * CHUNK + part.shape[1]] += part
+    negative, positive = map(int, found)
+    if not positive or not negative:
+        return Model(settings, np.zeros(size, np.float32), float(np.log((positive + 1e-6) / (negative + 1))))
+    ratios = log_count_ratios(totals, settings, positive, negative)
+    weight = {k: 1 / (positive + negative) / rate[k] for k in (0, 1)}
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["key"], r["label"], r["features"]))
-        y = np.array([r["label"] for r in rows], np.float64)
-        beta, intercept = fit_logistic([np.frombuffer(r["features"], np.int32) for r in rows], y, np.array([weight[int(v)] for v in y]), ratios, settings)
+        features = Features(settings)
+        rows = sorted(((k, y, features(t)) for b in batches for y, k, t in zip(*(b.column(c).to_pylist() for c in range(3)))), key=lambda r: (r[0], r[1], len(r[2])))
+        y = np.array([r[1] for r in rows], np.float64)
+        beta, intercept = fit_logistic([r[2] for r in rows], y, np.array([weight[r[1]] for r in rows]), ratios, settings)
         yield pa.RecordBatch.from_pydict({"weights": [(ratios * beta).astype(np.float32).tobytes()], "intercept": [float(intercept)]})
 
-    sample = parts.where("kind = 'row'").select("label", "key", "features").repartition(1)
+    sample = parts.where("kind = 'row'").select("label", "key", "text").repartition(1)
     row = saved(sample.mapInArrow(fitted, "weights binary, intercept double"), "toxicity_model").first()
     return Model(settings, np.frombuffer(row["weights"], np.float32), row["intercept"])
 
 
+def added(table: pa.Table) -> pa.Table:
+    parts = [np.frombuffer(x.as_py(), np.int64) for x in table["counts"]]
+    total = np.zeros_like(parts[0])
+    for part in parts:
+        total += part
+    return pa.table({"task": table["task"][:1].cast(pa.int64()), "chunk": table["chunk"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+
 def hash_key(value) -> int:
     """A number to order sample rows by, whatever the type of the id."""
     import zlib
@@ -156,16 +172,9 @@ def hash_key(value) -> int:
     return zlib.crc32(str(value).encode())
 
 
-def _sample_columns(rows: list) -> list:
-    k = len(rows)
-    return [["row"] * k, [r[0] for r in rows], [r[1] for r in rows], [None] * k, [None] * k, [None] * k, [r[2] for r in rows]]
-
-
-def log_count_ratios(summed: pa.Table, settings: Settings, positive: int, negative: int) -> np.ndarray:
+def log_count_ratios(counts: np.ndarray, settings: Settings, positive: int, negative: int) -> np.ndarray:
     """log of the share of label-1 rows with a feature over the share of label-0 rows; smoothed towards 0 (no evidence)."""
-    counts, total = np.zeros((2, 1 << settings.bits)), positive + negative
-    at = summed["bucket"].to_numpy()
-    counts[1, at], counts[0, at] = summed["pos"].to_numpy(), summed["neg"].to_numpy()
+    total = positive + negative
     add = settings.smoothing * np.array([negative, positive]) * 2 / total
     share = (counts + add[:, None]) / np.array([[negative], [positive]])
     return np.log(share[1] / share[0])
