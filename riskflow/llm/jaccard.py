@@ -24,6 +24,8 @@ from riskflow.llm.graph import components
 
 BROADCAST_IDS = 1_000_000  # documents (16 bytes each) up to which a list of ids is broadcast
 TINY = 5  # sets of up to so many tokens, where similar sets differ in one token at most
+FEW_PIVOTS = 8  # sets of an unfinished list that are compared with the others before all pairs across components are
+LIST_BLOCK = 2048  # sets of a list that a task compares with as many others
 FLUSH = 1_000_000  # list entries that a task holds before it sends them on
 U64 = np.uint64
 
@@ -237,6 +239,96 @@ def bodies_of(texts: DataFrame, alive: DataFrame) -> DataFrame:
     return saved(texts.join(wanted, theirs).select("node", "text").dropDuplicates(["node"]), "bodies")
 
 
+def sketched(bodies: DataFrame, width: int) -> DataFrame:
+    """(node, n, sketch): for each place of a table twice to four times as long as the set, whether an odd number of tokens
+    falls on it. Each token that only one of two sets has changes one place, so sets differ in no fewer tokens than their
+    sketches do in places. A sketch is folded to a shorter one by adding its halves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t.as_py(), width) for t in batch.column(1)]
+            flat = []
+            for tokens in sets:
+                places = max(64, 2 << len(tokens).bit_length())
+                odd = np.bincount((tokens & U64(places - 1)).astype(np.int64), minlength=places) & 1
+                flat.append(np.packbits(odd.astype(np.uint8)).tobytes())
+            columns = [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(flat, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "sketch"])
+
+    return saved(bodies.mapInArrow(run, "node long, n long, sketch binary"), "sketches")
+
+
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    x = np.frombuffer(sketch, U64)
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
+def may_be_similar(pairs: DataFrame, sketches: DataFrame, scheme: Scheme) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches allow to be similar."""
+    side = lambda c: sketches.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    fits = F.least("n_a", "n_b") * scheme.den >= F.greatest("n_a", "n_b") * scheme.num
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(fits).select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in range(2, 6))):
+                size = min(len(x), len(y)) // 8
+                keep.append(int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum()) <= scheme.differing(n, m))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def crossing(ranked: DataFrame, sketches: DataFrame, scheme: Scheme, pivots: int | None) -> DataFrame:
+    """The pairs (a, b) within a list that are not in one component and that sizes and sketches allow to be similar; with
+    ``pivots``, only those with one of the first so many sets of a list. A task holds many short lists, or two blocks of
+    a long one, never a long list; only pairs that pass leave it."""
+    buckets = 4 * parallelism(ranked.sparkSession)
+    block = F.floor((F.col("rank") - 1) / LIST_BLOCK)
+    last = F.floor((F.max("rank").over(Window.partitionBy("sig")) - 1) / LIST_BLOCK)
+    placed = ranked.withColumn("block", block).withColumn("last", last)
+    others = F.sequence(F.lit(0).cast("long"), F.col("last")) if pivots is None else F.when(F.col("block") > 0, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("last")))
+    spread = placed.withColumn("other", F.explode(others))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    task = F.when(F.col("last") == 0, F.pmod(F.xxhash64("sig"), F.lit(buckets))).otherwise(F.xxhash64("sig", low, high))
+    rows = spread.select(task.alias("task"), F.xxhash64("sig", low, high).alias("part"), "node", "label", "rank", "block", (low < high).alias("cross"))
+    rows = rows.join(sketches, "node").select("task", "part", "node", "label", "rank", "block", "cross", "n", "sketch")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by([("part", "ascending"), ("rank", "ascending")])
+        part, node, label, rank, block, n = (table[c].to_numpy() for c in ("part", "node", "label", "rank", "block", "n"))
+        sketch, cross = table["sketch"].to_pylist(), table["cross"].to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        found_a, found_b = [], []
+        for i, j in zip(first, np.append(first[1:], len(part))):
+            if j - i < 2 or (label[i:j] == label[i]).all():
+                continue
+            size = min(len(x) for x in sketch[i:j]) // 8
+            places = np.stack([folded(x, size) for x in sketch[i:j]])
+            step = max(1, 2_000_000 // ((j - i) * size))
+            ends = j - i if pivots is None else int(np.searchsorted(rank[i:j], pivots, side="right"))
+            for x in range(0, ends, step):
+                y = min(x + step, ends)
+                a, b = slice(i + x, i + y), slice(i, j)
+                ok = (rank[a, None] < rank[None, b]) & (label[a, None] != label[None, b])
+                if cross[i]:
+                    ok &= block[a, None] != block[None, b]
+                least, most = np.minimum(n[a, None], n[None, b]), np.maximum(n[a, None], n[None, b])
+                ok &= least * scheme.den >= most * scheme.num
+                differing = np.bitwise_count(places[x:y, None, :] ^ places[None, :, :]).sum(-1, dtype=np.int64)
+                ok &= differing * (scheme.den + scheme.num) <= (least + most) * (scheme.den - scheme.num)
+                at = np.nonzero(ok)
+                found_a.append(node[i + x + at[0]])
+                found_b.append(node[i + at[1]])
+        join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        return pa.table({"a": pa.array(join(found_a), pa.int64()), "b": pa.array(join(found_b), pa.int64())})
+
+    return rows.groupBy("task").applyInArrow(run, "a long, b long").distinct()
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, scheme: Scheme) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar. ``a`` repeats often; its set is made once for a run of rows."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -266,10 +358,10 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row: id, ``n_shingles``, ``copies`` (rows with the same set), ``component_id`` (smallest id reachable by links).
 
-    Every row and whole text takes part. Sets that are equal are one node; links join different sets. In each list one
-    set, the pivot, is compared with those that are not yet known to be in its component, then leaves the list; lists
-    within one component are done. The number of pivots grows fourfold each round, taken from the smaller components
-    first. So every pair that meets is either compared or already connected, and large groups need few comparisons.
+    Every row and whole text takes part. Sets that are equal are one node; links join different sets. In each list all
+    sets are first compared with one, the pivot. Where that leaves a list in several components, a few more pivots from
+    the smallest ones follow, then all pairs across components that are left. Sizes and sketches rule out most pairs
+    without their texts. So every pair that meets is compared or ruled out, or its sets are connected already.
 
     Null and empty texts and texts of white space have no shingles, and are their own component. Rows that repeat an id
     share the smallest id's component as any other copies do; a null id is only its component's name if it has no other.
@@ -283,38 +375,32 @@ def near_duplicates(
     lists = saved(meeting_lists(texts.select("text"), width, scheme, renamed), "lists")
     alive = saved(nodes.join(lists.select("node").distinct(), "node", "left_semi").select("node", "rep", "version", "n"), "alive")
     bodies = bodies_of(texts, alive)
-    sizes = alive.select("node", "n")
-
-    links, labels, pivots = None, None, 1
-    while True:
-        if labels is None:
-            found = lists.withColumn("label", F.col("node"))
-        else:
-            found = lists.join(labels, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("label"))
-        open_lists = found.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("pivot"))
-        open_lists = open_lists.where("lo < hi").select("sig", "pivot")
-        if labels is None:
-            met = lists.join(open_lists, "sig").where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-            rest = lists.join(open_lists, "sig").where("node <> pivot").select("sig", "node")
-        else:
-            found = saved(found.join(open_lists.select("sig"), "sig", "left_semi"), "open")
-            counted = found.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("sig", "label")))
-            ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("k", "node")))
-            ranked = saved(ranked.select("sig", "node", "label", "rank"), "ranked")
-            chosen = ranked.where(F.col("rank") <= pivots).select("sig", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("rank").alias("rank_a"))
-            met = ranked.join(chosen, "sig").where("rank > rank_a AND label <> label_a").select("a", F.col("node").alias("b"))
-            rest = ranked.where(F.col("rank") > pivots).select("sig", "node")
-        pairs = met.distinct().join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
-        pairs = pairs.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
-        fits = F.least("n_a", "n_b") * scheme.den >= F.greatest("n_a", "n_b") * scheme.num
-        pairs = saved(pairs.where(fits).select("a", "b"), "pairs")
-        fresh = saved(verified(pairs, bodies, width, scheme), "links")
-        links = fresh if links is None else links.union(fresh)
-        labels = components(links, "a", "b")
-        lists = saved(rest, "rest")
-        if lists.isEmpty():
+    sketches = sketched(bodies, width)
+
+    heads = lists.groupBy("sig").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").select("sig", "pivot")
+    lists = saved(lists.join(heads, "sig").where("node <> pivot"), "headed")
+    met = saved(lists.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "met")
+    links = saved(verified(saved(may_be_similar(met, sketches, scheme), "pairs"), bodies, width, scheme), "links")
+    labels = components(links, "a", "b")
+    label = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+    apart = met.join(label("a"), "a", "left").join(label("b"), "b", "left").where("coalesce(label_a, a) <> coalesce(label_b, b)")
+    apart = saved(apart.select(F.col("a").alias("pivot"), F.col("b").alias("node")), "apart")
+    apart = F.broadcast(apart) if apart.count() <= BROADCAST_IDS else apart
+    unfinished = lists.join(apart, ["pivot", "node"], "left_semi").select("sig").distinct()
+    lists = saved(lists.join(unfinished, "sig", "left_semi").select("sig", "node"), "rest")
+    for pivots in (FEW_PIVOTS, None):
+        named = lists.join(labels, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("label"))
+        mixed = named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
+        counted = named.join(mixed, "sig", "left_semi").withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("sig", "label")))
+        rank = F.row_number().over(Window.partitionBy("sig").orderBy("k", "node"))
+        ranked = saved(counted.select("sig", "node", "label", rank.alias("rank")), "ranked")
+        if ranked.isEmpty():
             break
-        pivots *= 4
+        pairs = saved(crossing(ranked, sketches, scheme, pivots), "pairs")
+        if not pairs.isEmpty():
+            links = links.union(saved(verified(pairs, bodies, width, scheme), "links"))
+            labels = components(links, "a", "b")
+        lists = ranked.select("sig", "node") if pivots is None else ranked.where(F.col("rank") > pivots).select("sig", "node")
 
     members = nodes.select("digest", "node", "rep", "copies").join(labels, "node", "left")
     best = members.where("label IS NOT NULL").groupBy("label").agg(F.min("rep").alias("best"))
