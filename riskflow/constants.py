@@ -59,4 +59,5 @@ OOT_MONTHS = 2
 SEARCH_SEED = 42
 FOLDS = 3
 
+EXPONENT = r"^[+-]?[0-9]*\.?[0-9]+[eE][+-]?[0-9]+$"  # numbers as Spark's CSV writer prints doubles from 1e7
 KEYS = ("loan_id", "Customer_ID", "application_date", "snapshot_date")

@@ -15,6 +15,7 @@ from riskflow.constants import (
     AGE_LABELS,
     ANNUAL_RATE,
     BAD_TOKENS,
+    EXPONENT,
     INCOME_CUTS,
     INCOME_LABELS,
     UNKNOWN,
@@ -57,9 +58,10 @@ def row_sum(columns: Sequence[str]) -> Column:
 
 
 def dirty_number(x: Column | str) -> Column:
-    """Number left in a text once everything but digits, sign and point is removed."""
-    kept = F.trim(F.regexp_replace(_col(x), r"[^0-9.\-]+", ""))
-    return F.nullif(kept, F.lit("")).try_cast("double")
+    """Number left in a text once everything but digits, sign and point is removed; a number in exponent form is read as it is."""
+    text = F.trim(_col(x).cast("string"))
+    kept = F.trim(F.regexp_replace(text, r"[^0-9.\-]+", ""))
+    return F.when(text.rlike(EXPONENT), finite(text.try_cast("double"))).otherwise(F.nullif(kept, F.lit("")).try_cast("double"))
 
 
 def log_income(income: Column | str) -> Column:

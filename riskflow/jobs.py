@@ -40,6 +40,8 @@ def parser() -> argparse.ArgumentParser:
     p = step("train")
     p.add_argument("--snapshotdate", required=True)
     p.add_argument("--kind", choices=["lr", "gbt"], default="lr")
+    p.add_argument("--dpd", type=int, default=30)
+    p.add_argument("--mob", type=int, default=1)
     p.add_argument("--trials", type=int)
     p = step("score")
     p.add_argument("--model", required=True)
@@ -47,6 +49,7 @@ def parser() -> argparse.ArgumentParser:
     p = step("monitor")
     p.add_argument("--model", required=True)
     p.add_argument("--mode", choices=["maturity", "snapshot", "customer"], default="maturity")
+    p.add_argument("--dpd", type=int, default=30)
     p.add_argument("--mob", type=int, default=1)
     return top
 
@@ -66,11 +69,11 @@ def run(spark, args: argparse.Namespace) -> None:
         layers.label_table(spark, args.root, args.dpd, args.mob, args.dates)
     elif args.step == "train":
         trials = args.trials or {"lr": 10, "gbt": 100}[args.kind]
-        layers.train(spark, args.root, args.snapshotdate, args.kind, n_trials=trials)
+        layers.train(spark, args.root, args.snapshotdate, args.kind, dpd=args.dpd, mob=args.mob, n_trials=trials)
     elif args.step == "score":
         layers.score(spark, args.root, args.model, args.dates)
     elif args.step == "monitor":
-        layers.monitor(spark, args.root, args.model, args.mode, args.mob)
+        layers.monitor(spark, args.root, args.model, args.mode, args.mob, dpd=args.dpd)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -75,7 +75,7 @@ def stratified_split(
     strata: Sequence[int] = (0, 1),
     column: str = "split",
 ) -> DataFrame:
-    """Add train/test so that each class has exactly floor(ratio * n) training rows.
+    """Add train/test so that each class has exactly floor(ratio * n) training rows. Rows of no class have no split.
 
     Rows are ordered by a hash of their key (``key`` is unique). Counting rows per hash prefix finds, for each
     class, the prefix in which the quota is reached; within it a longer prefix is found the same way, and only the
@@ -114,7 +114,7 @@ def stratified_split(
     )
     return (
         tagged.join(F.broadcast(cut), label, "left")
-        .withColumn(column, F.when(first, "train").otherwise("test"))
+        .withColumn(column, F.when(first, "train").when(F.col(label).isin(list(strata)), "test"))
         .select(*df.columns, column)
     )
 

@@ -223,7 +223,9 @@ def build_features(
             )
         )
     if attributes is not None:
-        histories.append(History(attributes, latest=("Age", "Occupation"), unique=True))
+        if "age_clean" not in attributes.columns:
+            attributes = attributes.withColumn("age_clean", S.plausible_age("Age"))
+        histories.append(History(attributes, latest=("Age", "age_clean", "Occupation"), unique=True))
     if histories:
         features = asof_join(features, histories, strict=strict, applications_unique=True)
 
@@ -247,8 +249,8 @@ def build_features(
         added |= {"estimated_EMI": S.instalment("loan_amt", "tenure")}
         added |= {"requested_amount": F.col("loan_amt"), "requested_tenure": F.col("tenure")}
     if attributes is not None:
-        added |= age_flags() | S.one_hot("Occupation", top_occupations, "Occupation")
-        spent += ["Occupation"]
+        added |= age_flags("age_clean") | S.one_hot("Occupation", top_occupations, "Occupation")
+        spent += ["Occupation", "age_clean"]
     if clicks is not None:
         features = features.join(clickstream(clicks, applications, strict=strict, unique=True), grain, "left")
 

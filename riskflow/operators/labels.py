@@ -12,12 +12,17 @@ from riskflow.functions import scalars as S
 from riskflow.operators.ordered import quantiles_of_counts
 
 
+def definition(dpd: int, mob: int) -> str:
+    """The name under which labels of one definition are stored."""
+    return f"{dpd}dpd_{mob}mob"
+
+
 def snapshot_labels(
     loans: DataFrame, dpd: int = DPD_THRESHOLD, mob: int = 1, keys: Sequence[str] = ("loan_id", "Customer_ID", "snapshot_date")
 ) -> DataFrame:
     """Label of every loan in the month it reaches ``mob``."""
     return loans.where(F.col("mob") == mob).select(
-        *keys, S.flag(F.col("dpd") >= dpd).alias("label"), F.lit(f"{dpd}dpd_{mob}mob").alias("label_def")
+        *keys, S.flag(F.col("dpd") >= dpd).alias("label"), F.lit(definition(dpd, mob)).alias("label_def")
     )
 
 

@@ -54,12 +54,17 @@ def join_outcomes(
 # ---- ranking ----
 
 
+def _known(score: str) -> Column:
+    """Neither null nor NaN."""
+    return F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+
+
 def score_counts(scored: DataFrame, groups: Sequence[str], label: str, score: str, weight: str | None = None) -> DataFrame:
     """Positives and negatives per (groups, score)."""
     w = F.col(weight) if weight else F.lit(1)
     y = F.col(label)
     return (
-        scored.where(F.col(label).isin(0, 1) & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+        scored.where(F.col(label).isin(0, 1) & _known(score))
         .groupBy(*groups, F.col(score).cast("double").alias("score"))
         .agg(
             F.sum(F.when(y == 1, w).otherwise(0)).alias("pos"),
@@ -174,25 +179,25 @@ def average_precision(
 
 
 def calibration(scored: DataFrame, bins: int = 10, label: str = "label", score: str = "score") -> DataFrame:
-    """Equal-width bins of the score, closed on the right: rows, mean score and default rate of each bin in use."""
+    """Equal-width bins of the known scores, closed on the right: rows, mean score and default rate of each bin in use."""
     edge = F.lit(bins)
     for k in range(bins - 1, 0, -1):
         edge = F.when(F.col(score) <= k / bins, k).otherwise(edge)
     return (
-        scored.groupBy(edge.alias("bin"))
+        scored.where(_known(score))
+        .groupBy(edge.alias("bin"))
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.avg(score).alias("mean_score"),
             F.avg(label).alias("default_rate"),
         )
-        .where("bin IS NOT NULL")
     )
 
 
 def score_histogram(scored: DataFrame, bins: int = 50, label: str = "label", score: str = "score") -> DataFrame:
     """Rows per class and equal-width score bin, with the density within the class."""
     slot = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
-    counts = scored.groupBy(label, slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = scored.where(_known(score)).groupBy(label, slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy(label).agg(F.sum("n").alias("n_class"))
     return counts.join(sizes, label).select(
         label, "bin", "n", (F.col("n") * bins / F.col("n_class")).alias("density")

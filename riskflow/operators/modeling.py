@@ -72,7 +72,7 @@ def boosted(label: str = "label", seed: int = SPLIT_SEED) -> GBTClassifier:
     return GBTClassifier(labelCol=label, featuresCol="features", seed=seed)
 
 
-def _lr_params(lr: LogisticRegression, point: Mapping, n: int) -> dict:
+def _lr_params(lr: LogisticRegression, point: Mapping, n: float) -> dict:
     return {lr.regParam: 1.0 / (point["C"] * n), lr.elasticNetParam: 1.0 if point["penalty"] == "l1" else 0.0}
 
 
@@ -113,7 +113,7 @@ def search(
         if kind == "lr":
             estimator = logistic(label)
             points = draw(LR_SPACE, n_trials, seed)
-            maps = [_lr_params(estimator, p, n) for p in points]
+            maps = [_lr_params(estimator, p, n * (folds - 1) / folds) for p in points]
         else:
             estimator = boosted(label)
             points = draw(GBT_SPACE, n_trials, seed)
@@ -127,11 +127,13 @@ def search(
             parallelism=parallelism,
         )
         found = cv.fit(data)
+        best = max(range(len(points)), key=lambda i: found.avgMetrics[i])
+        # The penalty is per row: a fit on all rows needs a smaller one than those on the training folds.
+        chosen = estimator.fit(data, _lr_params(estimator, points[best], n)) if kind == "lr" else found.bestModel
     finally:
         data.unpersist()
     trials = [{**p, "cv_auc": float(a)} for p, a in zip(points, found.avgMetrics)]
-    best = max(range(len(points)), key=lambda i: found.avgMetrics[i])
-    model = PipelineModel(stages=[*prepared.stages, found.bestModel])
+    model = PipelineModel(stages=[*prepared.stages, chosen])
     return Trained(model, points[best], float(found.avgMetrics[best]), trials)
 
 

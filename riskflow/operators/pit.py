@@ -43,7 +43,8 @@ def _days(history: History, index: int, key: str) -> DataFrame:
     """One row per (key, day): newest row as a struct, partial states of the running aggregates."""
     row = F.struct(*[F.col(c) for c in history.tie], *[F.col(c) for c in history.latest if c not in history.tie])
     states = {f"__r{index}_{out}": spec for out, spec in history.running.items()}
-    dated = history.df.where(F.col(history.date).isNotNull()).withColumn(_DAY, F.col(history.date).cast("date"))
+    known = F.col(key).isNotNull() & F.col(history.date).isNotNull()  # rows without customer belong to nobody
+    dated = history.df.where(known).withColumn(_DAY, F.col(history.date).cast("date"))
     if history.unique:
         return dated.select(
             key,
@@ -70,7 +71,7 @@ def asof_join(
     applications_unique: bool = False,
 ) -> DataFrame:
     """Add to every application the newest row (and running aggregates) of each history on or before its
-    date, or strictly before it. Applications without history keep nulls.
+    date, or strictly before it. Applications without history, or without key, keep nulls.
 
     Applications and all histories go through one shuffle by key as a single time line; the newest value is
     carried forward by one window. There is no join of every history row with every application.

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from itertools import combinations_with_replacement
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -203,14 +204,40 @@ def top_correlated(correlations: DataFrame, k: int = 20) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Correlation of every pair of columns (each pair once), from one aggregate."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*[correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    """Correlation of every pair of columns (each pair once) over the rows where both are known; null and NaN are not.
+
+    The plan does not grow with the number of pairs: each task adds up the moments of its rows as matrix products, shifted
+    by the columns' means, and sends one row per pair; Spark adds these.
+    """
+    columns = list(columns)
+    wide = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    known = wide.agg(*[F.avg(F.when(~F.isnan(c), F.col(c))).alias(c) for c in wide.columns]).first()
+    means = np.array([0.0 if m is None else m for m in known])
+    first, second = np.triu_indices(len(columns))
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, len(columns), len(columns)))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(columns))]) - means
+            there = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x, nan=0.0)
+            total += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+        n, s, q, p = total
+        a, b = first, second
+        sums = [n[a, b], s[a, b], s[b, a], q[a, b], q[b, a], p[a, b]]
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a, b, *sums)], names=["a", "b", "n", "sa", "sb", "qa", "qb", "p"])
+
+    parts = wide.mapInArrow(moments, "a long, b long, n double, sa double, sb double, qa double, qb double, p double")
+    sums = parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "p")])
+    spread = lambda s, q: F.col(q) - F.col(s) * F.col(s) / F.col("n")
+    both = F.sqrt(spread("sa", "qa")) * F.sqrt(spread("sb", "qb"))
+    some = F.least(spread("sa", "qa") / F.col("qa"), spread("sb", "qb") / F.col("qb")) > 1e-12  # else constant, but for rounding
+    names = F.array(*map(F.lit, columns))
+    return sums.select(
+        F.get(names, F.col("a").cast("int")).alias("col_a"),
+        F.get(names, F.col("b").cast("int")).alias("col_b"),
+        F.when((F.col("n") > 0) & (F.col("qa") > 0) & (F.col("qb") > 0) & some, (F.col("p") - F.col("sa") * F.col("sb") / F.col("n")) / both).alias("corr"),
+    )
 
 
 def class_balance(df: DataFrame, label: str = "label", low: float = 0.1, high: float = 0.9) -> DataFrame:
@@ -255,7 +282,7 @@ def leakage_counts(
     app_date: str = "application_date",
 ) -> DataFrame:
     """Pairs of feature row and application of one customer by how their dates compare: feature on the same
-    day, after it, before it. Pairs are counted from running totals per day, never built."""
+    day, after it, before it. Rows without customer form no pair. Pairs are counted from running totals per day, never built."""
     f = features.groupBy(key, F.col(date).cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n_f"))
     a = applications.groupBy(key, F.col(app_date).cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n_a"))
     days = f.unionByName(a, allowMissingColumns=True).groupBy(key, "day").agg(
@@ -264,7 +291,7 @@ def leakage_counts(
     customer = Window.partitionBy(key)
     upto = customer.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen, all_f = F.sum("n_f").over(upto), F.sum("n_f").over(customer)
-    pairs = days.where("day IS NOT NULL").select(
+    pairs = days.where(F.col("day").isNotNull() & F.col(key).isNotNull()).select(
         (F.col("n_a") * F.col("n_f")).alias("same"),
         (F.col("n_a") * (seen - F.col("n_f"))).alias("before"),
         (F.col("n_a") * (all_f - seen)).alias("after"),

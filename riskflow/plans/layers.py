@@ -18,9 +18,10 @@ from riskflow.sources import sinks, tables
 
 
 def bronze(spark: SparkSession, csv: str, table: str, root: str, dates: Sequence[str] | None = None) -> str:
-    """Raw rows as text, all columns as they are, one partition per snapshot date, with the file they came from."""
+    """Raw rows as text, all columns as they are, one partition per snapshot date, with the file they came from. The text of
+    the date stays in ``snapshot_text``, also where it can't be read as a date."""
     raw = tables.read_raw_csv(spark, csv, lineage=True)
-    raw = raw.withColumn("snapshot_date", F.col("snapshot_date").try_cast("date"))
+    raw = raw.withColumns({"snapshot_text": F.col("snapshot_date"), "snapshot_date": F.col("snapshot_date").try_cast("date")})
     if dates:
         raw = tables.at_snapshots(raw, dates)
     return sinks.write_snapshots(raw, f"{root}/bronze/{table}")
@@ -47,7 +48,7 @@ def silver(
     if only_new:
         raw = tables.only_new(raw, tables.read_table(spark, target, missing="none"))
     require_columns(raw, keys, table)
-    raw = apply_casts(raw.drop("source_file", "ingested_at"), casts)
+    raw = apply_casts(raw.drop("source_file", "ingested_at", "snapshot_text"), casts)
     cleaned = CLEANERS[table](raw, schema, keys)
     return sinks.write_snapshots(cleaned, target)
 
@@ -86,7 +87,13 @@ def label_table(spark: SparkSession, root: str, dpd: int = 30, mob: int = 1, dat
     loans = tables.read_table(spark, f"{root}/silver/lms_loan_daily")
     if dates:
         loans = tables.at_snapshots(loans, dates)
-    return sinks.write_snapshots(labels.snapshot_labels(loans, dpd, mob), f"{root}/gold/label_store")
+    return sinks.write_snapshots(labels.snapshot_labels(loans, dpd, mob), f"{root}/gold/label_store", ["label_def", "snapshot_date"])
+
+
+def stored_labels(spark: SparkSession, root: str, dpd: int, mob: int) -> DataFrame:
+    """The stored labels of one definition; the others are not read."""
+    stored = tables.read_table(spark, f"{root}/gold/label_store")
+    return stored.where(F.col("label_def") == labels.definition(dpd, mob))
 
 
 def ever_default_table(spark: SparkSession, root: str, asof: str, dpd: int = 30, mob: int = 0) -> str:
@@ -103,21 +110,22 @@ def train(
     train_date: str,
     kind: str = "lr",
     *,
-    label_months: int = 1,
+    dpd: int = 30,
+    mob: int = 1,
     n_trials: int = 10,
     parallelism: int = 4,
 ) -> str:
     """Train on the window before the date, test out of time, save the model and log the run.
 
-    A label belongs to the features taken ``label_months`` months before its snapshot.
+    Labels are those of one definition. A label belongs to the features taken ``mob`` months before its snapshot.
     """
     window = dataset.time_split(train_date)
-    y = tables.between(
-        tables.read_table(spark, f"{root}/gold/label_store"), window.train_test_start, window.oot_end
-    ).withColumn("label_date", F.col("snapshot_date"))
-    y = y.withColumn("snapshot_date", F.add_months("label_date", -label_months)).drop("loan_id", "label_def")
+    y = tables.between(stored_labels(spark, root, dpd, mob), window.train_test_start, window.oot_end).withColumn("label_date", F.col("snapshot_date"))
+    y = y.withColumn("snapshot_date", F.add_months("label_date", -mob)).drop("loan_id", "label_def")
     y = y.groupBy("Customer_ID", "snapshot_date", "label_date").agg(F.max("label").alias("label"))
     x = tables.read_table(spark, f"{root}/gold/feature_store")
+    start, end = (spark.sql(f"SELECT add_months(DATE '{d}', {-mob})").first()[0] for d in (window.train_test_start, window.oot_end))
+    x = tables.between(x, start, end)  # the window bounds the features too
     data = dataset.tag_time_split(dataset.assemble(y, x), window, "label_date")
     names = [c for c in dataset.feature_columns(data) if c != "label_date"]
     data = data.fillna(0, subset=names).withColumn("row_key", F.concat_ws("|", "Customer_ID", "snapshot_date"))
@@ -140,7 +148,7 @@ def train(
         model_name=name,
         model_path=path,
         train_date=train_date,
-        parameters={**best.parameters, "cv_auc": best.cv_auc},
+        parameters={**best.parameters, "cv_auc": best.cv_auc, "label_def": labels.definition(dpd, mob)},
         metrics=modeling.evaluate(saved, sets),
         sizes=dataset.split_stats(sets),
     )
@@ -162,11 +170,11 @@ def score(
 
 
 def monitor(
-    spark: SparkSession, root: str, model_name: str, mode: str = "maturity", mob: int = 1, format: str = "parquet"
+    spark: SparkSession, root: str, model_name: str, mode: str = "maturity", mob: int = 1, format: str = "parquet", dpd: int = 30
 ) -> str:
-    """Monthly quality of the stored predictions against the labels that came in later."""
+    """Monthly quality of the stored predictions against the labels of one definition that came in later."""
     stored = tables.read_table(spark, f"{root}/gold/model_predictions", schema=PREDICTIONS, format=format)
     predictions = stored.where(F.col("model_name") == model_name)
-    outcomes = metrics.join_outcomes(predictions, tables.read_table(spark, f"{root}/gold/label_store"), mode, mob)
+    outcomes = metrics.join_outcomes(predictions, stored_labels(spark, root, dpd, mob), mode, mob)
     report = metrics.monitoring(outcomes, weight="weight")
     return sinks.write_report(report, f"{root}/gold/model_monitoring/{model_name}", ["month"])

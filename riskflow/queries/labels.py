@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from riskflow.operators import labels as L
 from riskflow.queries import views as V
 from riskflow.queries.registry import Tables, query
+from riskflow.session import scratch_dir
+from riskflow.sources import sinks, tables
 
 
 @query(
@@ -85,3 +87,19 @@ def mob_summary(t: Tables) -> DataFrame:
 )
 def dpd_thresholds(t: Tables) -> DataFrame:
     return L.dpd_threshold_counts(V.loan_d(t))
+
+
+@query(
+    "label_store_two_definitions",
+    f"""WITH {V.LOAN_DPD} SELECT loan_id, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label, '30dpd_' || mob || 'mob' AS label_def,
+    CAST(DATE_TRUNC('month', snapshot_date) AS DATE) AS snapshot_date FROM loan_d WHERE mob IN (1, 6)""",
+)
+def label_store_two_definitions(t: Tables) -> DataFrame:
+    """Two definitions written to one store one after the other, as monthly snapshots, each read back by its name."""
+    path, loans = scratch_dir(t.spark, "label_store"), V.loan_d(t).withColumn("snapshot_date", F.trunc("snapshot_date", "MM"))
+    for mob in (1, 6):
+        rows = L.snapshot_labels(loans, 30, mob, ["loan_id", "snapshot_date"])
+        sinks.write_snapshots(rows, path, ["label_def", "snapshot_date"])
+    stored = tables.read_table(t.spark, path)
+    one, six = (stored.where(F.col("label_def") == L.definition(30, mob)) for mob in (1, 6))
+    return one.unionByName(six)
