@@ -116,10 +116,13 @@ def sweep_numeric(
 
 # ---- rows ----
 
+LINEAGE = ("ingested_at", "source_file")
 
-def keep_one_per_grain(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ()) -> DataFrame:
+
+def keep_one_per_grain(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] | None = None) -> DataFrame:
     """One row per key. The highest ``latest_by`` wins, then the highest values of the other columns, so the
-    survivor does not depend on the order of the files."""
+    survivor does not depend on the order of the files. By default that is the newest delivery, where the rows tell."""
+    latest_by = [c for c in LINEAGE if c in df.columns] if latest_by is None else latest_by
     rest = [c for c in df.columns if c not in keys and c not in latest_by]
     order = [F.col(c).desc_nulls_last() for c in [*latest_by, *rest]] or [F.lit(1)]
     return first_rows(df, keys, order)

@@ -35,7 +35,8 @@ def silver(
     only_new: bool = False,
     casts: Sequence[Cast] = (),
 ) -> str:
-    """Typed, deduplicated snapshots: all months, some months, or the months not yet there.
+    """Typed, deduplicated snapshots: all months, some months, or the months not yet there. Of several rows of a key the
+    newest delivery stays, with its file and time.
 
     Declared columns get their declared types; ``casts`` (from a profile of the whole table) types the rest, the
     same way in every snapshot.
@@ -48,7 +49,7 @@ def silver(
     if only_new:
         raw = tables.only_new(raw, tables.read_table(spark, target, missing="none"))
     require_columns(raw, keys, table)
-    raw = apply_casts(raw.drop("source_file", "ingested_at", "snapshot_text"), casts)
+    raw = apply_casts(raw.drop("snapshot_text"), casts)
     cleaned = CLEANERS[table](raw, schema, keys)
     return sinks.write_snapshots(cleaned, target)
 

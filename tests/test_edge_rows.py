@@ -69,3 +69,13 @@ def test_unreadable_dates_keep_their_text(spark, tmp_path):
     layers.bronze(spark, str(tmp_path / "loan.csv"), "loan", str(tmp_path))
     found = spark.read.parquet(f"{tmp_path}/bronze/loan").select("loan_id", "snapshot_text").collect()
     assert {r[0]: r[1] for r in found} == {"a": "2024-01-01", "b": "next week"}
+
+
+def test_newest_delivery_survives(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    for name, income in (("2024-01-a.csv", 9000), ("2024-01-b.csv", 100)):
+        (tmp_path / "d" / name).write_text(f"Customer_ID,snapshot_date,Annual_Income\nc,2024-01-01,{income}\n")
+    layers.bronze(spark, str(tmp_path / "d"), "features_financials", str(tmp_path))
+    layers.silver(spark, "features_financials", str(tmp_path))
+    (row,) = spark.read.parquet(f"{tmp_path}/silver/features_financials").collect()
+    assert row["Annual_Income"] == 100 and row["source_file"].endswith("2024-01-b.csv")
