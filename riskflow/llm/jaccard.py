@@ -25,7 +25,8 @@ from riskflow.llm.graph import components
 BROADCAST_IDS = 1_000_000  # documents (16 bytes each) up to which a list of ids is broadcast
 TINY = 5  # sets of up to so many tokens, where similar sets differ in one token at most
 FEW_PIVOTS = 8  # sets of an unfinished list that are compared with the others before all pairs across components are
-LIST_BLOCK = 2048  # sets of a list that a task compares with as many others
+EARLIER = 8  # lists before a list that each set is known to be in
+LIST_BLOCK = 1024  # sets of a list that a task compares with as many others
 FLUSH = 1_000_000  # list entries that a task holds before it sends them on
 U64 = np.uint64
 
@@ -285,8 +286,11 @@ def may_be_similar(pairs: DataFrame, sketches: DataFrame, scheme: Scheme) -> Dat
 def crossing(ranked: DataFrame, sketches: DataFrame, scheme: Scheme, pivots: int | None) -> DataFrame:
     """The pairs (a, b) within a list that are not in one component and that sizes and sketches allow to be similar; with
     ``pivots``, only those with one of the first so many sets of a list. A task holds many short lists, or two blocks of
-    a long one, never a long list; only pairs that pass leave it."""
+    a long one, never a long list; only pairs that pass leave it. Sets that met in one of the last ``EARLIER`` lists, in an
+    order that is the same for all, are left out: they are compared in the first list that they share."""
     buckets = 4 * parallelism(ranked.sparkSession)
+    order = Window.partitionBy("node").orderBy("sig")
+    ranked = ranked.withColumn("earlier", F.collect_list("sig").over(order.rowsBetween(-EARLIER, -1)))
     block = F.floor((F.col("rank") - 1) / LIST_BLOCK)
     last = F.floor((F.max("rank").over(Window.partitionBy("sig")) - 1) / LIST_BLOCK)
     placed = ranked.withColumn("block", block).withColumn("last", last)
@@ -294,13 +298,16 @@ def crossing(ranked: DataFrame, sketches: DataFrame, scheme: Scheme, pivots: int
     spread = placed.withColumn("other", F.explode(others))
     low, high = F.least("block", "other"), F.greatest("block", "other")
     task = F.when(F.col("last") == 0, F.pmod(F.xxhash64("sig"), F.lit(buckets))).otherwise(F.xxhash64("sig", low, high))
-    rows = spread.select(task.alias("task"), F.xxhash64("sig", low, high).alias("part"), "node", "label", "rank", "block", (low < high).alias("cross"))
-    rows = rows.join(sketches, "node").select("task", "part", "node", "label", "rank", "block", "cross", "n", "sketch")
+    rows = spread.select(task.alias("task"), F.xxhash64("sig", low, high).alias("part"), "node", "label", "rank", "block", (low < high).alias("cross"), "earlier")
+    rows = rows.join(sketches, "node").select("task", "part", "node", "label", "rank", "block", "cross", "n", "sketch", "earlier")
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by([("part", "ascending"), ("rank", "ascending")])
         part, node, label, rank, block, n = (table[c].to_numpy() for c in ("part", "node", "label", "rank", "block", "n"))
         sketch, cross = table["sketch"].to_pylist(), table["cross"].to_numpy(zero_copy_only=False)
+        earlier = np.tile(-1 - np.arange(len(part), dtype=np.int64)[:, None], EARLIER) * 2 - 1  # odd: like no other
+        for k, sigs in enumerate(table["earlier"].to_pylist()):
+            earlier[k, : len(sigs)] = sigs
         first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
         found_a, found_b = [], []
         for i, j in zip(first, np.append(first[1:], len(part))):
@@ -320,9 +327,12 @@ def crossing(ranked: DataFrame, sketches: DataFrame, scheme: Scheme, pivots: int
                 ok &= least * scheme.den >= most * scheme.num
                 differing = np.bitwise_count(places[x:y, None, :] ^ places[None, :, :]).sum(-1, dtype=np.int64)
                 ok &= differing * (scheme.den + scheme.num) <= (least + most) * (scheme.den - scheme.num)
-                at = np.nonzero(ok)
-                found_a.append(node[i + x + at[0]])
-                found_b.append(node[i + at[1]])
+                a, b = (p + q for p, q in zip(np.nonzero(ok), (i + x, i)))
+                for k in range(0, len(a), 100_000):
+                    u, v = a[k : k + 100_000], b[k : k + 100_000]
+                    fresh = ~(earlier[u][:, :, None] == earlier[v][:, None, :]).any((1, 2))
+                    found_a.append(node[u[fresh]])
+                    found_b.append(node[v[fresh]])
         join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
         return pa.table({"a": pa.array(join(found_a), pa.int64()), "b": pa.array(join(found_b), pa.int64())})
 
@@ -400,7 +410,7 @@ def near_duplicates(
         if not pairs.isEmpty():
             links = links.union(saved(verified(pairs, bodies, width, scheme), "links"))
             labels = components(links, "a", "b")
-        lists = ranked.select("sig", "node") if pivots is None else ranked.where(F.col("rank") > pivots).select("sig", "node")
+        lists = ranked.select("sig", "node")
 
     members = nodes.select("digest", "node", "rep", "copies").join(labels, "node", "left")
     best = members.where("label IS NOT NULL").groupBy("label").agg(F.min("rep").alias("best"))
