@@ -1,6 +1,8 @@
 """Category lists, tokens, rates and thresholds that results depend on."""
 
 # --- fixed values: categories ---
+# Low before high spending and small before large payments, good before bad credit, else by name; the order only decides
+# that of the flag columns.
 PAYMENT_BEHAVIOURS = (
     "Low_spent_Small_value_payments",
     "Low_spent_Medium_value_payments",

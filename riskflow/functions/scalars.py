@@ -189,10 +189,3 @@ def age_unit(age: Column | str) -> Column:
         .when(a > 120, ">120_other")
         .otherwise("other")
     )
-
-
-# ---- rounding of report tables ----
-
-
-def rounded(columns: Mapping[str, Column], digits: int = 4) -> dict[str, Column]:
-    return {name: F.round(c, digits) for name, c in columns.items()}

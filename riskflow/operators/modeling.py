@@ -22,7 +22,7 @@ from pyspark.storagelevel import StorageLevel
 
 from riskflow.constants import FOLDS, SEARCH_SEED, SPLIT_SEED
 from riskflow.operators.metrics import overfit_check, ranking_metrics
-from riskflow.sources.sinks import append_rows
+from riskflow.sources.sinks import write_snapshots
 
 # --- fixed values: search spaces ---
 # Logistic regression: ten inverse penalties from 0.001 to 1000 on a log scale, with an L1 or an L2 penalty.
@@ -183,7 +183,8 @@ def record_run(
     sizes: DataFrame,
     split: str = "split",
 ) -> str:
-    """Append one row per training run: parameters, AUC, Gini and size of every split, where the model is."""
+    """One row per model and training date: parameters, AUC, Gini and size of every split, where the model is. A run that is
+    repeated replaces its row."""
     found = metrics.join(sizes, split, "left").collect()
     row = {
         "model_name": model_name,
@@ -200,7 +201,7 @@ def record_run(
         "model_name string, model_version string, model_path string, train_date string, created_at timestamp_ntz, "
         "parameters string, auc map<string,double>, gini map<string,double>, n_rows map<string,bigint>"
     )
-    return append_rows(spark.createDataFrame([row], schema), log)
+    return write_snapshots(spark.createDataFrame([row], schema), log, "model_version", rebalance=False)
 
 
 def latest_model(spark: SparkSession, log: str, model_name: str, fallback: str | None = None) -> PipelineModel:

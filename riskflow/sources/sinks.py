@@ -44,11 +44,6 @@ def write_report(report: DataFrame, path: str, order_by: Sequence[str] = (), for
     return path
 
 
-def append_rows(df: DataFrame, path: str) -> str:
-    df.write.mode("append").parquet(path)
-    return path
-
-
 def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write once and read from there: for data that is passed over many times, and to cut a long lineage."""
     df.write.mode("overwrite").parquet(path)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskflow.functions import scalars as S
-from riskflow.operators import dataset, metrics, profiling
+from riskflow.operators import dataset, metrics, modeling, profiling
 from riskflow.operators.labels import definition
 from riskflow.operators.pit import History, asof_join
 from riskflow.plans import layers
@@ -79,3 +79,12 @@ def test_newest_delivery_survives(spark, tmp_path):
     layers.silver(spark, "features_financials", str(tmp_path))
     (row,) = spark.read.parquet(f"{tmp_path}/silver/features_financials").collect()
     assert row["Annual_Income"] == 100 and row["source_file"].endswith("2024-01-b.csv")
+
+
+def test_repeated_run_replaces_its_row(spark, tmp_path):
+    quality = spark.createDataFrame([("train", 0.7, 0.4)], "split string, auc double, gini double")
+    sizes = spark.createDataFrame([("train", 10)], "split string, n_rows long")
+    for day, c in (("2024-07-01", 1), ("2024-08-01", 2), ("2024-08-01", 3)):
+        modeling.record_run(spark, f"{tmp_path}/log", model_name="LR", model_path="p", train_date=day, parameters={"C": c}, metrics=quality, sizes=sizes)
+    found = spark.read.parquet(f"{tmp_path}/log").collect()
+    assert sorted((r["train_date"], r["parameters"]) for r in found) == [("2024-07-01", '{"C": 1}'), ("2024-08-01", '{"C": 3}')]
