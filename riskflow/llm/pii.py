@@ -17,6 +17,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "slot": r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+",  # a word with a digit or an at sign: what a pattern may find
 }
+EDGE = r"[!\"'(),.:;<>?\[\]{}`\u00AB\u00BB\u2018-\u201F\u2026]"  # punctuation around a word, which is not part of a slot
 OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}"
 
 
@@ -44,11 +45,12 @@ def valid(kind: str, hit: Column) -> Column:
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, id, kind, start, end, value, left2, left1, right1), written once: each valid seed and each slot of the whole texts,
-    with the words around it; a row without any has one record without kind. Positions are code points, the end exclusive.
+    """(row, id, kind, start, end, value, left2, left1, right1), written once: each valid seed of the whole texts and each slot
+    that overlaps none, with the words around it; a row without any has one record without kind. Positions are code points, the end exclusive.
 
     A pattern splits a text into matches and what lies between them; starts are running sums of these lengths, so
-    nothing but lengths, hashes and up to three words a match leaves the task that reads the text.
+    nothing but lengths, hashes and up to three words a match leaves the task that reads the text. Punctuation at the edges of
+    a slot is text around it, as it is with seeds.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     with_digit, with_at = F.col("text").rlike("[0-9]"), F.contains("text", F.lit("@"))
@@ -62,16 +64,22 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         word = lambda text, pattern: F.lower(F.regexp_extract(text, pattern, 1))
 
         def part(piece: Column, hit: Column) -> Column:
-            before, after = F.right(piece, F.lit(90)), F.left(piece, F.lit(45))
+            slot = kind == "slot"
+            head = F.coalesce(F.regexp_extract(hit, f"^{EDGE}+", 0), F.lit("")) if slot else F.lit("")
+            tail = F.coalesce(F.regexp_extract(hit, f"(?<!{EDGE}){EDGE}+$", 0), F.lit("")) if slot else F.lit("")
+            core = F.substr(hit, F.length(head) + 1, F.length(hit) - F.length(head) - F.length(tail)) if slot else hit
+            before, after = F.right(F.concat(piece, head) if slot else piece, F.lit(90)), F.left(piece, F.lit(45))
             return F.struct(
                 F.lit(kind).alias("kind"),
-                F.length(piece).cast("long").alias("gap"),
-                F.length(hit).cast("long").alias("size"),
-                F.xxhash64(hit).alias("value"),
+                (F.length(piece) + F.length(head)).cast("long").alias("gap"),
+                F.length(core).cast("long").alias("size"),
+                F.length(tail).cast("long").alias("rest"),
+                F.xxhash64(core).alias("value"),
                 (hit.isNotNull() & valid(kind, hit)).alias("valid"),
                 word(before, r"(?<!\S)(\S{1,40}\s+\S{1,40})\s*$").alias("left2"),
                 word(before, r"(?<!\S)(\S{1,40})\s*$").alias("left1"),
                 word(after, r"^\s*(\S{1,40})(?!\S)").alias("right1"),
+                F.when(F.length(tail) > 40, "").otherwise(tail).alias("tail"),
             )
 
         return F.when(F.exists(hits, lambda h: valid(kind, h)), F.zip_with(F.split("text", PATTERNS[kind], -1), hits, part))
@@ -80,11 +88,15 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     by_kind = listed.select("row", "id", F.explode_outer("kinds").alias("list"))
     pieces = by_kind.select("row", "id", F.posexplode_outer("list").alias("k", "part")).select("row", "id", "k", "part.*").repartition("row")
     order = Window.partitionBy("row", "kind").orderBy("k")
-    passed = F.sum(F.col("gap") + F.coalesce("size", F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    placed = pieces.withColumn("start", F.coalesce(passed, F.lit(0)) + F.col("gap")).withColumn("right1", F.lead("right1").over(order))
-    kept = placed.where("kind IS NULL OR valid")
-    end = F.col("start") + F.col("size")
-    return saved(kept.select("row", "id", "kind", "start", end.alias("end"), "value", "left2", "left1", "right1"), "personal")
+    passed = F.sum(F.col("gap") + F.coalesce("size", F.lit(0)) + F.col("rest")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    placed = pieces.withColumn("start", F.coalesce(passed, F.lit(0)) + F.col("gap")).withColumn("right1", F.when(F.col("rest") > 0, F.col("tail")).otherwise(F.lead("right1").over(order)))
+    kept = placed.where("kind IS NULL OR valid").withColumn("end", F.col("start") + F.col("size"))
+    seed, upto = F.col("kind") != "slot", (Window.unboundedPreceding, 0)
+    ended = F.max(F.when(seed, F.col("end"))).over(Window.partitionBy("row").orderBy("start").rangeBetween(*upto))
+    begun = F.min(F.when(seed, F.col("start"))).over(Window.partitionBy("row").orderBy(F.desc("start")).rangeBetween(*upto))
+    overlaps = ~seed & ((F.coalesce("ended", F.lit(0)) > F.col("start")) | (F.coalesce("begun", F.col("end")) < F.col("end")))
+    apart = kept.withColumn("ended", ended).withColumn("begun", begun).where(F.col("kind").isNull() | ~overlaps)
+    return saved(apart.select("row", "id", "kind", "start", "end", "value", "left2", "left1", "right1"), "personal")
 
 
 def patterns_of(found: DataFrame) -> DataFrame:
@@ -131,7 +143,7 @@ def personal_data(
     """One row per input row: id, ``base`` and ``spans``: arrays of (start, rank, end, kind), sorted.
 
     ``base`` holds the seeds: what the fixed patterns match, leftmost and without overlap per kind, and passes the checks.
-    ``spans`` adds words with a digit or an at sign, outside of all seeds, that stand in a trusted pattern; they get its
+    ``spans`` adds words with a digit or an at sign, without punctuation at their edges and outside of all seeds, that stand in a trusted pattern; they get its
     kind, of several the one with the best score. Null and empty texts have none. Rows that repeat an id each have their
     own result; a null id is kept. An empty table gives no rows. Extra columns are ignored.
     """

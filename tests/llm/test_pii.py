@@ -65,6 +65,24 @@ def test_patterns_find_unseen_identifiers(documents):
     assert all(found[i]["spans"] == found[i]["base"] for i in range(40))
 
 
+def test_seeds_beside_punctuation_and_with_spaces_are_seeds_only(documents):
+    rng = random.Random(8)
+    rows, found_in = [], {}
+    for i in range(12):
+        digits = f"{rng.randrange(10**14, 10**15)}"
+        digits = next(digits + c for c in "0123456789" if luhn(digits + c))
+        card = " ".join(digits[k : k + 4] for k in range(0, 16, 4))
+        rows.append((i, f"Do write to u{i}@host{i}.example.com, or log in from ({rng.randrange(1, 255)}.8.4.{i}) and pay by card {card} before noon."))
+    cases = {"email": ("Do write to {}, soon", "jane9(at)example(dot)org"), "ip": ("or log in from ({}) and", "10-0-0-7"), "card": ("pay by card {} before", "x4111-1111")}
+    for i, (kind, (text, word)) in enumerate(cases.items()):
+        rows.append((100 + i, text.format(word)))
+        at = rows[-1][1].index(word)
+        found_in[100 + i] = f"{kind}:{at}:{at + len(word)}"
+    found = {r["doc_id"]: r for r in pii.personal_data(documents(rows)).select("doc_id", pii.joined("base").alias("base"), pii.joined("spans").alias("spans")).collect()}
+    assert {i: found[i]["spans"] for i in found_in} == found_in
+    assert all(found[i]["spans"] == found[i]["base"] == plain(dict(rows)[i]) and found[i]["base"].count(":") == 6 for i in range(12))
+
+
 def test_null_and_repeated_ids_and_empty_table(documents):
     assert pii.personal_data(documents([])).collect() == []
     out = pii.personal_data(documents([(None, "a@b.c"), (1, "a@b.c"), (1, "a@b.c"), (2, None)])).select("doc_id", pii.counted("base", "email").alias("n")).collect()
