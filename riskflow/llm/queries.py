@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import decontaminate as D
 from riskflow.llm import exact_dedup as X
-from riskflow.llm import html, jaccard, licenses, packing, pii, substring, toxicity, warc
+from riskflow.llm import html, jaccard, licenses, lines, packing, pii, substring, toxicity, warc
 from riskflow.queries.registry import Query, Tables
 from riskflow.session import scratch_dir
 
@@ -131,3 +131,22 @@ def op1_license_scan(t: Tables) -> DataFrame:
 @query("op4_substring_dedup")
 def op4_substring_dedup(t: Tables) -> DataFrame:
     return substring.shared_passages(t["documents"])
+
+
+@query(
+    "op13_line_dedup",
+    """
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+         l AS (SELECT r, doc_id, coalesce(doc_id, 9223372036854775807) AS n, unnest(w) AS line, unnest(range(len(w))) AS i FROM d),
+         k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+         g AS (SELECT key, min(n) AS owner FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT n) > 1),
+         m AS (SELECT k.*, coalesce(k.n <> g.owner, false) AS dropped FROM k LEFT JOIN g USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+    FROM m GROUP BY r, doc_id
+    """,
+)
+def op13_line_dedup(t: Tables) -> DataFrame:
+    kept = lines.drop_repeated_lines(t["documents"])
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
