@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import decontaminate as D
 from riskflow.llm import exact_dedup as X
-from riskflow.llm import html, jaccard, licenses, lines, packing, pii, substring, toxicity, warc
+from riskflow.llm import html, jaccard, licenses, lines, packing, pii, substring, toxicity, vector_codes, warc
 from riskflow.queries.registry import Query, Tables
 from riskflow.session import scratch_dir
 
@@ -150,3 +150,39 @@ def op4_substring_dedup(t: Tables) -> DataFrame:
 def op13_line_dedup(t: Tables) -> DataFrame:
     kept = lines.drop_repeated_lines(t["documents"])
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def codes_sql() -> str:
+    """Five assignments and four replacements, written out. Distances are x.x - 2 x.c + c.c of integers, which are exact as doubles."""
+    steps = []
+    for r in range(5):
+        steps.append(
+            f"""a{r} AS MATERIALIZED (SELECT u, part, min({{'d': list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c), 'e': e}}) AS b
+                FROM points JOIN c{r} USING (part) GROUP BY u, part)"""
+        )
+        if r < 4:
+            steps.append(
+                f"""m{r} AS (SELECT part, e, list(v::DOUBLE ORDER BY i) AS c FROM (SELECT part, b.e AS e, i, floor(sum(x[i]) / count(*)) AS v
+                    FROM a{r} JOIN points USING (u, part), (SELECT unnest(range(1, 1 + (SELECT any_value(len(x)) FROM points))) AS i) GROUP BY ALL) GROUP BY part, e),
+                c{r + 1} AS MATERIALIZED (SELECT part, e, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (part, e))"""
+            )
+    return f"""
+    WITH rows AS (SELECT row_number() OVER () AS u, vec_id, label, list_transform(embedding::DOUBLE[], lambda x: floor(1024 * x)) AS v FROM embeddings
+                  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         points AS MATERIALIZED (SELECT u, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] AS x FROM rows, (SELECT unnest(range(4)) AS part)),
+         seeds AS (SELECT u, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM rows ORDER BY vec_id LIMIT 256),
+         c0 AS MATERIALIZED (SELECT part, e, x AS c FROM seeds JOIN points USING (u)),
+         {", ".join(steps)},
+         coded AS (SELECT vec_id, label, string_agg(printf('%02x', b.e::INT), '' ORDER BY part) AS code, sum(b.d)::BIGINT AS error
+                   FROM rows JOIN a4 USING (u) GROUP BY u, vec_id, label)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT sha256(string_agg(v::BIGINT::VARCHAR, ',' ORDER BY part, e, i)) FROM (SELECT part, e, unnest(c) AS v, unnest(range(len(c))) AS i FROM c4)) AS codebooks_sha256
+    FROM coded
+    """
+
+
+@query("op11_vector_codes", codes_sql())
+def op11_vector_codes(t: Tables) -> DataFrame:
+    coded, books = vector_codes.encode(t["embeddings"])
+    digest = F.sha2(F.lit(books.text()).cast("binary"), 256)
+    return vector_codes.with_label_error(coded).select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
