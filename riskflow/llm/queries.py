@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import decontaminate as D
 from riskflow.llm import exact_dedup as X
-from riskflow.llm import html, jaccard, licenses, lines, packing, pii, substring, toxicity, vector_codes, warc
+from riskflow.llm import html, jaccard, licenses, lines, negatives, packing, pii, substring, toxicity, vector_codes, warc
 from riskflow.queries.registry import Query, Tables
 from riskflow.session import scratch_dir
 
@@ -186,3 +186,27 @@ def op11_vector_codes(t: Tables) -> DataFrame:
     coded, books = vector_codes.encode(t["embeddings"])
     digest = F.sha2(F.lit(books.text()).cast("binary"), 256)
     return vector_codes.with_label_error(coded).select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH r AS MATERIALIZED (
+             SELECT row_number() OVER () AS u, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                    list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v
+             FROM embeddings
+             WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS MATERIALIZED (
+             SELECT a.u, a.vec_id AS anchor_id, b.u AS o, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+             FROM r a JOIN r b ON a.u <> b.u WHERE a.vec_id % 100 = 0),
+         p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY u ORDER BY score DESC, other_id) <= 5),
+         n AS (SELECT p.u, p.o, p.anchor_id, p.other_id AS positive_id, p.score AS positive_score, s.other_id AS negative_id, s.score AS negative_score
+               FROM p JOIN s ON s.u = p.u AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+    SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY u, o ORDER BY negative_score DESC, negative_id))::INT AS rank,
+           negative_id, positive_score, negative_score
+    FROM n QUALIFY rank <= 10
+    """,
+)
+def op12_hard_negatives(t: Tables) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(t["embeddings"].withColumn("label", moved), F.col("vec_id") % 100 == 0)
