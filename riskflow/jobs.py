@@ -33,10 +33,21 @@ def parser() -> argparse.ArgumentParser:
     p = step("features")
     p.add_argument("--asof")
     p.add_argument("--strict", action="store_true")
+    p.add_argument("--dates", nargs="*", help="application days to build, from stored state; the others stay")
+    p.add_argument("--only-new", action="store_true", help="application days that the feature store does not hold")
+    p = step("state")
+    p.add_argument("--through", required=True, help="merge the snapshots up to this day into the customer state")
+    p = step("categories")
+    p.add_argument("--asof")
+    p.add_argument("--top", type=int, default=15)
     p = step("labels")
     p.add_argument("--dpd", type=int, default=30)
     p.add_argument("--mob", type=int, default=1)
     p.add_argument("--dates", nargs="*")
+    p = step("ever-default")
+    p.add_argument("--asof", required=True)
+    p.add_argument("--dpd", type=int, default=30)
+    p.add_argument("--mob", type=int, default=0)
     p = step("train")
     p.add_argument("--snapshotdate", required=True)
     p.add_argument("--kind", choices=["lr", "gbt"], default="lr")
@@ -46,11 +57,14 @@ def parser() -> argparse.ArgumentParser:
     p = step("score")
     p.add_argument("--model", required=True)
     p.add_argument("--dates", nargs="*")
+    p.add_argument("--format", default="parquet")
     p = step("monitor")
     p.add_argument("--model", required=True)
     p.add_argument("--mode", choices=["maturity", "snapshot", "customer"], default="maturity")
     p.add_argument("--dpd", type=int, default=30)
     p.add_argument("--mob", type=int, default=1)
+    p.add_argument("--dates", nargs="*", help="label months to compute; the report keeps the others")
+    p.add_argument("--format", default="parquet")
     return top
 
 
@@ -64,16 +78,22 @@ def run(spark, args: argparse.Namespace) -> None:
     elif args.step == "applications":
         layers.application_table(spark, args.root, args.choice, args.first, args.last)
     elif args.step == "features":
-        layers.feature_table(spark, args.root, args.asof, args.strict)
+        layers.feature_table(spark, args.root, args.asof, args.strict, dates=args.dates, only_new=args.only_new)
+    elif args.step == "state":
+        layers.customer_state(spark, args.root, args.through)
+    elif args.step == "categories":
+        layers.categories(spark, args.root, args.asof, args.top, refit=True)
+    elif args.step == "ever-default":
+        layers.ever_default_table(spark, args.root, args.asof, args.dpd, args.mob)
     elif args.step == "labels":
         layers.label_table(spark, args.root, args.dpd, args.mob, args.dates)
     elif args.step == "train":
         trials = args.trials or {"lr": 10, "gbt": 100}[args.kind]
         layers.train(spark, args.root, args.snapshotdate, args.kind, dpd=args.dpd, mob=args.mob, n_trials=trials)
     elif args.step == "score":
-        layers.score(spark, args.root, args.model, args.dates)
+        layers.score(spark, args.root, args.model, args.dates, args.format)
     elif args.step == "monitor":
-        layers.monitor(spark, args.root, args.model, args.mode, args.mob, dpd=args.dpd)
+        layers.monitor(spark, args.root, args.model, args.mode, args.mob, args.format, args.dpd, args.dates)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.operators import applications as apps
-from riskflow.operators import dataset, labels, metrics, modeling
+from riskflow.operators import dataset, labels, metrics, modeling, state
 from riskflow.operators.cleaning import CLEANERS, Cast, apply_casts, require_columns
 from riskflow.operators.features import build_features, top_values
-from riskflow.schemas import PREDICTIONS, SOURCES
+from riskflow.schemas import MONITORING, PREDICTIONS, SOURCES
 from riskflow.sources import sinks, tables
 
 
@@ -60,28 +60,118 @@ def application_table(spark: SparkSession, root: str, choice: str = "latest", fi
     return sinks.write_snapshots(chosen, f"{root}/gold/application_store", "application_date")
 
 
-def feature_table(spark: SparkSession, root: str, asof: str | None = None, strict: bool = False, top: int = 15) -> str:
-    """Features of all stored applications; tables that do not exist leave their features out."""
+def categories(spark: SparkSession, root: str, asof: str | None = None, top: int = 15, refit: bool = False) -> list[str]:
+    """The occupations that get a flag: fitted once, on what was known by ``asof``, then read from the store, so that all
+    months of the feature store have the same columns."""
+    path = f"{root}/gold/categories"
+    stored = None if refit else tables.read_table(spark, path, missing="none")
+    if stored is None:
+        attributes = tables.read_table(spark, f"{root}/silver/features_attributes", missing="none")
+        if attributes is None:
+            return []
+        known = tables.up_to(attributes, asof) if asof else attributes
+        ranked = top_values(known, "Occupation", top).withColumn("column", F.lit("Occupation"))
+        ranked.select("column", F.col("Occupation").alias("value"), "count").write.mode("overwrite").parquet(path)
+        stored = tables.read_table(spark, path)
+    return [r[0] for r in stored.where("column = 'Occupation'").orderBy(F.desc("count"), "value").select("value").collect()]
 
-    def known(name: str) -> DataFrame | None:
-        df = tables.read_table(spark, f"{root}/silver/{name}", missing="none")
-        return tables.up_to(df, asof) if df is not None and asof else df
 
+def customer_state(spark: SparkSession, root: str, through: str) -> None:
+    """Merge the newest state before a day with the snapshots since, up to the day. Older snapshots are not read."""
+    end = date.fromisoformat(through)
+    for name, kept in state.feature_states().items():
+        rows = tables.read_table(spark, f"{root}/silver/{name}", missing="none")
+        if rows is None:
+            continue
+        path = f"{root}/gold/customer_state/{name}"
+        before = state.newest_state(spark, path, end)
+        since = tables.up_to(rows, through)
+        since = since if before is None else since.where(F.col("snapshot_date") > F.lit(before))
+        state.write_state(state.merge(state.read_state(spark, path, before), since, kept, through), path, through)
+
+
+def feature_history(spark: SparkSession, root: str, name: str, first: date, last: date) -> DataFrame | None:
+    """What applications from ``first`` to ``last`` need of a source: the newest state before ``first`` and the snapshots since."""
+    rows = tables.read_table(spark, f"{root}/silver/{name}", missing="none")
+    if rows is None:
+        return None
+    path = f"{root}/gold/customer_state/{name}"
+    before = state.newest_state(spark, path, first)
+    since = rows.where(F.col("snapshot_date") <= F.lit(last))
+    since = since if before is None else since.where(F.col("snapshot_date") > F.lit(before))
+    return state.history(state.read_state(spark, path, before), since, state.feature_states()[name], before, last)
+
+
+def request_features(spark: SparkSession, root: str, requests: DataFrame) -> DataFrame:
+    """Features of applications passed by a caller, as the batch build gives them: from the buckets of their customers in the newest
+    state before the earliest request, and the snapshots since. Nothing is written."""
+    first, last = requests.agg(F.min("application_date"), F.max("application_date")).first()
+    found = []
+    for name in state.feature_states():
+        rows = tables.read_table(spark, f"{root}/silver/{name}", missing="none")
+        if rows is None or first is None:
+            found.append(None if rows is None else rows.limit(0))
+            continue
+        path = f"{root}/gold/customer_state/{name}"
+        before = state.newest_state(spark, path, first)
+        since = rows.where(F.col("snapshot_date") <= F.lit(last))
+        since = since if before is None else since.where(F.col("snapshot_date") > F.lit(before))
+        since = since.join(requests.select("Customer_ID").distinct(), "Customer_ID", "left_semi")
+        kept = state.read_state(spark, path, before)
+        kept = None if kept is None else state.of_customers(kept, requests)
+        found.append(state.history(kept, since, state.feature_states()[name], before, last))
+    return build_features(requests, *found, top_occupations=categories(spark, root)).drop("income_band")
+
+
+def score_requests(spark: SparkSession, root: str, model_name: str, requests: DataFrame) -> DataFrame:
+    """Predictions of the newest model for applications passed by a caller."""
+    return modeling.predictions(*_ready(modeling.latest_model(spark, f"{root}/models/model_runs", model_name), request_features(spark, root, requests)), model_name)
+
+
+def feature_table(
+    spark: SparkSession,
+    root: str,
+    asof: str | None = None,
+    strict: bool = False,
+    top: int = 15,
+    *,
+    dates: Sequence[str] | None = None,
+    only_new: bool = False,
+) -> str:
+    """Features of the stored applications: all of them, those up to a day, those of some days, or those of days that the
+    feature store does not hold. Sources that do not exist leave their features out.
+
+    Some days are built from the newest customer state before them and the snapshots since; other partitions of the
+    store stay. Days are told by folder names, so no file of the other days is opened.
+    """
+    target = f"{root}/gold/feature_store"
     applications = tables.read_table(spark, f"{root}/gold/application_store")
-    if asof:
-        applications = tables.up_to(applications, asof, "application_date")
-    attributes = known("features_attributes")
-    occupations = [] if attributes is None else [r[0] for r in top_values(attributes, "Occupation", top).collect()]
+    asked = None if dates is None else sorted(date.fromisoformat(d) for d in dates)
+    if only_new:
+        held = set(tables.stored_dates(spark, target))
+        asked = [d for d in asked or tables.stored_dates(spark, f"{root}/gold/application_store", "application_date") if d not in held]
+    if asked is not None:
+        if not asked:
+            return target
+        applications = tables.at_snapshots(applications, asked, "application_date")
+        known = lambda name: feature_history(spark, root, name, asked[0], asked[-1])
+    else:
+
+        def known(name: str) -> DataFrame | None:
+            df = tables.read_table(spark, f"{root}/silver/{name}", missing="none")
+            return tables.up_to(df, asof) if df is not None and asof else df
+
+        if asof:
+            applications = tables.up_to(applications, asof, "application_date")
     features = build_features(
         applications,
         known("features_financials"),
-        attributes,
+        known("features_attributes"),
         known("feature_clickstream"),
         strict=strict,
-        top_occupations=occupations,
+        top_occupations=categories(spark, root, asof, top),
     )
-    features = features.drop("income_band")
-    return sinks.write_snapshots(features, f"{root}/gold/feature_store")
+    return sinks.write_snapshots(features.drop("income_band"), target)
 
 
 def label_table(spark: SparkSession, root: str, dpd: int = 30, mob: int = 1, dates: Sequence[str] | None = None) -> str:
@@ -156,6 +246,12 @@ def train(
     return path
 
 
+def _ready(model: PipelineModel, features: DataFrame) -> tuple[PipelineModel, DataFrame]:
+    """The model, and features without nulls in the columns it reads."""
+    assembler = next(s for s in model.stages if s.hasParam("inputCols"))
+    return model, features.fillna(0, subset=assembler.getInputCols())
+
+
 def score(
     spark: SparkSession, root: str, model_name: str, dates: Sequence[date | str] | None = None, format: str = "parquet"
 ) -> str:
@@ -164,18 +260,40 @@ def score(
     features = tables.read_table(spark, f"{root}/gold/feature_store")
     if dates:
         features = tables.at_snapshots(features, dates)
-    assembler = next(s for s in model.stages if s.hasParam("inputCols"))
-    features = features.fillna(0, subset=assembler.getInputCols())
-    out = modeling.predictions(model, features, model_name)
+    out = modeling.predictions(*_ready(model, features), model_name)
     return sinks.write_predictions(out, f"{root}/gold/model_predictions", format)
 
 
 def monitor(
-    spark: SparkSession, root: str, model_name: str, mode: str = "maturity", mob: int = 1, format: str = "parquet", dpd: int = 30
+    spark: SparkSession,
+    root: str,
+    model_name: str,
+    mode: str = "maturity",
+    mob: int = 1,
+    format: str = "parquet",
+    dpd: int = 30,
+    dates: Sequence[str] | None = None,
 ) -> str:
-    """Monthly quality of the stored predictions against the labels of one definition that came in later."""
+    """Monthly quality of the stored predictions against the labels of one definition that came in later.
+
+    With ``dates`` (label months) only these are computed, from their labels and the predictions that they judge; the
+    report keeps its other months.
+    """
     stored = tables.read_table(spark, f"{root}/gold/model_predictions", schema=PREDICTIONS, format=format)
     predictions = stored.where(F.col("model_name") == model_name)
-    outcomes = metrics.join_outcomes(predictions, stored_labels(spark, root, dpd, mob), mode, mob)
+    known = stored_labels(spark, root, dpd, mob)
+    path = f"{root}/gold/model_monitoring/{model_name}"
+    if dates:
+        known = tables.at_snapshots(known, dates)
+        if mode != "customer":
+            shift = mob if mode == "maturity" else 0
+            months = [spark.sql(f"SELECT add_months(DATE '{d}', {-shift})").first()[0] for d in dates]
+            predictions = tables.at_snapshots(predictions, months)
+    outcomes = metrics.join_outcomes(predictions, known, mode, mob)
     report = metrics.monitoring(outcomes, weight="weight")
-    return sinks.write_report(report, f"{root}/gold/model_monitoring/{model_name}", ["month"])
+    before = tables.read_table(spark, path, schema=MONITORING, format="csv", missing="none") if dates else None
+    if before is not None:
+        # One row a month; they are read before their file is replaced.
+        kept = before.where(~F.col("month").isin([F.lit(d).cast("date") for d in dates])).collect()
+        report = spark.createDataFrame(kept, MONITORING).unionByName(report)
+    return sinks.write_report(report, path, ["month"])

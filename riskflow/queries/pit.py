@@ -199,127 +199,3 @@ def limit_changes_and_recency(t: Tables) -> DataFrame:
     changes = G.limit_changes(history, apps, changed="change", **KEY)
     out = recent.join(changes, apps.columns, "left")
     return out.withColumns({c: F.round(c, 2) for c in out.columns if c.startswith("Changed_Credit_Limit_sum")})
-
-
-# ---- the whole feature table ----
-
-GOLD_SQL = """WITH a0 AS (
-  SELECT o_custkey AS customer, CAST(o_orderdate AS DATE) AS day, o_totalprice AS loan_amt,
-         ROW_NUMBER() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_totalprice DESC) AS rn
-  FROM orders WHERE o_orderpriority = '1-URGENT'), a AS (SELECT customer, day, loan_amt FROM a0 WHERE rn = 1), f0 AS (
-  SELECT o_custkey AS customer, CAST(o_orderdate AS DATE) AS day, c_acctbal * 10 AS income, o_totalprice AS debt,
-         o_orderpriority AS pri, o_orderstatus AS st, CAST(SUBSTR(o_orderpriority, 1, 1) AS INT) AS delayed,
-         CAST(o_orderkey %% 30 AS INT) AS years, CAST(o_orderkey %% 12 AS INT) AS months,
-         ROW_NUMBER() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) AS rn
-  FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderpriority <> '1-URGENT'),
-f AS (SELECT * FROM f0 WHERE rn = 1), k AS (
-  SELECT o_custkey AS customer, CAST(l_shipdate AS DATE) AS day, CAST(SUM(l_quantity) AS DOUBLE) AS fe_1,
-         CAST(SUM(l_linenumber) AS DOUBLE) AS fe_2
-  FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2), lf AS (
-  SELECT * FROM (SELECT a.customer, a.day, f.income, f.debt, f.pri, f.st, f.years, f.months,
-    ROW_NUMBER() OVER (PARTITION BY a.customer, a.day ORDER BY f.day DESC) AS rn
-    FROM a JOIN f ON f.customer = a.customer AND f.day <= a.day) WHERE rn = 1), la AS (
-  SELECT DISTINCT a.customer, a.day FROM a JOIN f ON f.customer = a.customer AND f.day <= a.day), dl AS (
-  SELECT a.customer, a.day, SUM(CASE WHEN a.day - f.day <= 90 THEN delayed END) AS d3,
-         SUM(CASE WHEN a.day - f.day <= 180 THEN delayed END) AS d6, SUM(delayed) AS d12, MAX(delayed) AS mx
-  FROM a JOIN f ON f.customer = a.customer AND a.day - f.day BETWEEN 0 AND 365 GROUP BY 1, 2), ck AS (
-  SELECT a.customer, a.day, %s
-  FROM a JOIN k ON k.customer = a.customer AND a.day - k.day BETWEEN 0 AND 30 GROUP BY 1, 2)
-SELECT CAST(a.customer AS VARCHAR) AS Customer_ID, a.day AS application_date, a.day AS snapshot_date, a.loan_amt, 10 AS tenure,
-  COALESCE(lf.income, 0) AS Annual_Income, COALESCE(lf.debt, 0) AS Outstanding_Debt,
-  COALESCE(CASE WHEN la.customer IS NOT NULL THEN 18 + a.customer %% 60 END, 0) AS Age,
-  CAST(COALESCE(dl.d3, 0) AS BIGINT) AS Num_of_Delayed_Payment_3m, CAST(COALESCE(dl.d6, 0) AS BIGINT) AS Num_of_Delayed_Payment_6m,
-  CAST(COALESCE(dl.d12, 0) AS BIGINT) AS Num_of_Delayed_Payment_12m, COALESCE(dl.mx, 0) AS max_dpd_prior,
-  CASE WHEN dl.mx >= 30 THEN 1 ELSE 0 END AS ever_30dpd_prior,
-  ROUND(COALESCE(CASE WHEN lf.income > 0 THEN lf.debt / lf.income END, 0), 4) AS DTI,
-  ROUND(COALESCE(CASE WHEN lf.income > 0 THEN LN(lf.income) END, 0), 4) AS log_Annual_Income,
-  ROUND(COALESCE(CASE WHEN lf.income > 0 THEN a.loan_amt / lf.income END, 0), 4) AS Loan_to_Income,
-  CASE WHEN lf.income < 20000 THEN '0-20k' WHEN lf.income < 50000 THEN '20-50k' WHEN lf.income < 100000 THEN '50-100k'
-       WHEN lf.income IS NOT NULL THEN '100k+' END AS income_band,
-  CASE WHEN lf.pri = '2-HIGH' THEN 1 ELSE 0 END AS Payment_Behaviour_High_spent_Large_value_payments,
-  CASE WHEN lf.pri = '5-LOW' THEN 1 ELSE 0 END AS Payment_Behaviour_Low_spent_Small_value_payments,
-  CASE WHEN lf.st = 'P' THEN 1 ELSE 0 END AS Credit_Mix_Standard, CASE WHEN lf.st = 'F' THEN 1 ELSE 0 END AS Credit_Mix_Good,
-  CASE WHEN lf.st = 'O' THEN 1 ELSE 0 END AS Credit_Mix_Bad,
-  CASE WHEN lf.st IN ('O', 'P') THEN 1 ELSE 0 END AS Type_of_Loan_Auto_Loan,
-  CASE WHEN lf.st IN ('F', 'P') THEN 1 ELSE 0 END AS Type_of_Loan_Credit_Builder_Loan,
-  CASE WHEN lf.st = 'P' THEN 2 WHEN lf.st IS NOT NULL THEN 1 ELSE 0 END AS loan_type_count,
-  COALESCE(lf.years, 0) AS Credit_History_Age_Year, COALESCE(lf.months, 0) AS Credit_History_Age_Month,
-  ROUND(a.loan_amt * 0.01 * POW(1.01, 10) / (POW(1.01, 10) - 1), 2) AS estimated_EMI,
-  ROUND(COALESCE(CASE WHEN lf.income > 0 THEN (a.loan_amt * 0.01 * POW(1.01, 10) / (POW(1.01, 10) - 1)) / (lf.income / 12)
-        END, 0), 4) AS EMI_to_income,
-  CASE WHEN la.customer IS NOT NULL AND 18 + a.customer %% 60 < 25 THEN 1 ELSE 0 END AS age_band_18_24,
-  CASE WHEN la.customer IS NOT NULL AND 18 + a.customer %% 60 >= 55 THEN 1 ELSE 0 END AS age_band_55,
-  CASE WHEN la.customer IS NULL THEN 1 ELSE 0 END AS age_band_Unknown, %s
-FROM a LEFT JOIN lf ON lf.customer = a.customer AND lf.day = a.day
-       LEFT JOIN la ON la.customer = a.customer AND la.day = a.day
-       LEFT JOIN dl ON dl.customer = a.customer AND dl.day = a.day
-       LEFT JOIN ck ON ck.customer = a.customer AND ck.day = a.day"""
-
-_GOLD_CLICK = [(c, s, f, d) for d in (7, 30) for c in ("fe_1", "fe_2") for s, f in
-               (("sum", "SUM"), ("mean", "AVG"), ("std", "STDDEV_SAMP"))]
-_GOLD_SQL = GOLD_SQL % (
-    ", ".join(f"{f}(CASE WHEN a.day - k.day <= {d} THEN {c} END) AS {c}_{s}_{d}d" for c, s, f, d in _GOLD_CLICK),
-    ", ".join(f"ROUND(COALESCE(ck.{c}_{s}_{d}d, 0), {DIGITS[s]}) AS {c}_{s}_{d}d" for c, s, _, d in _GOLD_CLICK),
-)
-_GOLD_COLUMNS = [
-    "Customer_ID", "application_date", "snapshot_date", "loan_amt", "tenure", "Annual_Income", "Outstanding_Debt", "Age",
-    "Num_of_Delayed_Payment_3m", "Num_of_Delayed_Payment_6m", "Num_of_Delayed_Payment_12m", "max_dpd_prior",
-    "ever_30dpd_prior", "DTI", "log_Annual_Income", "Loan_to_Income", "income_band",
-    "Payment_Behaviour_High_spent_Large_value_payments", "Payment_Behaviour_Low_spent_Small_value_payments",
-    "Credit_Mix_Standard", "Credit_Mix_Good", "Credit_Mix_Bad", "Type_of_Loan_Auto_Loan",
-    "Type_of_Loan_Credit_Builder_Loan", "loan_type_count", "Credit_History_Age_Year", "Credit_History_Age_Month",
-    "estimated_EMI", "EMI_to_income", "age_band_18_24", "age_band_55", "age_band_Unknown",
-    *[f"{c}_{s}_{d}d" for c, s, _, d in _GOLD_CLICK],
-]
-
-
-def gold_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Applications, financials, attributes and clickstream in the schema of the cleaned tables."""
-    customer = F.col("o_custkey").cast("string").alias("Customer_ID")
-    day = F.to_date("o_orderdate")
-    applications = t["orders"].where("o_orderpriority = '1-URGENT'").select(
-        customer, day.alias("application_date"), F.col("o_totalprice").alias("loan_amt"), F.lit(10).alias("tenure")
-    )
-    joined = t["orders"].where("o_orderpriority <> '1-URGENT'").join(t["customer"], F.col("c_custkey") == F.col("o_custkey"))
-    snapshots = first_rows(
-        joined.withColumn("snapshot_date", day), ["o_custkey", "snapshot_date"], [F.desc("o_orderkey")]
-    )
-    status = F.col("o_orderstatus")
-    financials = snapshots.select(
-        customer,
-        "snapshot_date",
-        (F.col("c_acctbal") * 10).alias("Annual_Income"),
-        F.col("o_totalprice").alias("Outstanding_Debt"),
-        F.when(F.col("o_orderpriority") == "2-HIGH", "High_spent_Large_value_payments")
-        .when(F.col("o_orderpriority") == "5-LOW", "Low_spent_Small_value_payments")
-        .otherwise("Unknown")
-        .alias("Payment_Behaviour"),
-        F.when(status == "P", "Standard").when(status == "F", "Good").otherwise("Bad").alias("Credit_Mix"),
-        F.when(status == "P", "Auto Loan, and Credit-Builder Loan")
-        .when(status == "F", "Credit-Builder Loan")
-        .otherwise("Auto Loan")
-        .alias("Type_of_Loan"),
-        F.concat_ws(
-            "", F.col("o_orderkey") % 30, F.lit(" Years and "), F.col("o_orderkey") % 12, F.lit(" Months")
-        ).alias("Credit_History_Age"),
-        F.lit(1).alias("Num_of_Loan"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("Num_of_Delayed_Payment"),
-    )
-    attributes = snapshots.select(
-        customer, "snapshot_date", (18 + F.col("c_custkey") % 60).alias("Age"), F.col("c_mktsegment").alias("Occupation")
-    )
-    clicks = (
-        t["lineitem"]
-        .join(t["orders"], F.col("o_orderkey") == F.col("l_orderkey"))
-        .groupBy(customer, F.to_date("l_shipdate").alias("snapshot_date"))
-        .agg(F.sum("l_quantity").alias("fe_1"), F.sum("l_linenumber").cast("double").alias("fe_2"))
-    )
-    return applications, financials, attributes, clicks
-
-
-@query("gold_features", _GOLD_SQL)
-def gold_features(t: Tables) -> DataFrame:
-    out = G.build_features(*gold_inputs(t))
-    rounded = {c: F.round(c, 4) for c in ("DTI", "log_Annual_Income", "Loan_to_Income", "EMI_to_income")}
-    rounded |= {f"{c}_{s}_{d}d": F.round(f"{c}_{s}_{d}d", DIGITS[s]) for c, s, _, d in _GOLD_CLICK}
-    return out.withColumns(rounded | {"estimated_EMI": F.round("estimated_EMI", 2)}).select(*_GOLD_COLUMNS)

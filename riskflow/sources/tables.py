@@ -107,6 +107,16 @@ def month_list(first: str, last: str) -> list[date]:
     return [d for d in (date(m // 12, m % 12 + 1, 1) for m in months) if d <= hi]
 
 
+def stored_dates(spark: SparkSession, root: str, column: str = "snapshot_date") -> list[date]:
+    """Dates that a partitioned table holds, by the names of its folders: no data file is opened, none is even listed.
+    A table that does not exist holds none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+    days = (n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
+    return sorted(date.fromisoformat(d) for d in days if not d.startswith("__"))
+
+
 def missing_dates(source: DataFrame, target: DataFrame | None, column: str = "snapshot_date") -> DataFrame:
     """Dates of the source that the target does not hold yet."""
     dates = source.select(column).where(F.col(column).isNotNull()).distinct()
