@@ -1,30 +1,49 @@
 """Running totals, exact quantiles and top rows over an order that may be very long.
 
-A window over a whole group would sort that group in one task. Here the order is first cut into ranges by
-magnitude, and a range with many rows is cut again into equal parts between its own smallest and largest
-value. Totals per range and per part are small and summed by short windows; only the rows of one part are ever
-sorted together. The cuts depend on the data alone, so a task that is repeated computes the same ones.
+A window over a whole group would sort that group in one task. Here the rows are first cut into ranges of the order
+at points that Spark samples from the rows themselves, so that no distribution of values makes one range large, and written
+with the number of their range. A range that still is too large is cut again until none is. Totals per range are few
+and are summed by short windows; only the rows of one range are ever sorted together. What is written says which range a row
+is in, so a task that is repeated finds the same ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_ALL = "__all"
-_RANGE = "__range"
+from riskflow.session import scratch_dir
+
 _PART = "__part"
-_PER_OCTAVE = 64
-_LOWEST_EXPONENT = 1075  # below that of the smallest double
-ROWS_PER_PART = 50_000
+_FROM = "__from"
+ROWS_PER_PART = 1_000_000
+MOST_CUTS = 8  # rows of one key and value, which nothing can cut, end the cutting
+
 
+def cut_order(df: DataFrame, columns: Sequence[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """The rows, written once, with a number ``__part`` of the range of the order that they are in: equal numbers are
+    neighbours in the order by ``columns``, and no range has over twice ``rows_per_part`` rows.
 
-def _magnitude(x: Column) -> Column:
-    """Number of the range of x, non-decreasing in x: 64 ranges between any value and its double."""
-    steps = F.floor((F.log2(F.abs(x)) + _LOWEST_EXPONENT) * _PER_OCTAVE)
-    return F.coalesce(F.when(x == 0, F.lit(0)).otherwise(F.signum(x) * steps).cast("bigint"), F.lit(0))
+    Only the numbers of ranges that have too many rows reach the driver; only their rows are written again.
+    """
+    spark = df.sparkSession
+    folder, done = scratch_dir(spark, "order"), []
+    rows, n = df.withColumn(_PART, F.lit("")), None
+    for level in range(MOST_CUTS):
+        cut = rows.repartitionByRange(*([n] if n else []), _PART, *columns)
+        path = f"{folder}/{level}"
+        cut.withColumn(_PART, F.concat_ws(".", _PART, F.spark_partition_id())).write.parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
+        large = rows.groupBy(_PART).count().where(F.col("count") > 2 * rows_per_part).collect()
+        if not large:
+            return reduce(DataFrame.unionByName, [*done, rows])
+        is_large = F.col(_PART).isin([r[0] for r in large])
+        done.append(rows.where(~is_large))
+        rows, n = rows.where(is_large), sum(-(-r["count"] // rows_per_part) for r in large)
+    return reduce(DataFrame.unionByName, [*done, rows])
 
 
 def cumulate(
@@ -37,65 +56,29 @@ def cumulate(
 ) -> DataFrame:
     """Add ``cum_<m>`` (total up to and including the row) and ``tot_<m>`` (total of the group).
 
-    ``df`` holds one row per (groups, order); rows with a null in one of them are left out.
+    ``df`` holds one row per (groups, order); rows with a null in one of them are left out. It is written once.
     """
-    keys = list(groups) or [_ALL]
-    x = F.col(order).cast("double")
-    # The joins below would add their own null filters to each branch, and branches that differ cannot share
-    # the shuffle of df. With the filter in all of them and a range that is never null, they are the same.
-    known = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*groups, order]))
-    base = (known if groups else known.withColumn(_ALL, F.lit(0))).withColumn(_RANGE, _magnitude(x))
-    sums = [F.sum(m).alias(m) for m in measures]
+    keys = list(groups)
+    known = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, order]))
+    rows = cut_order(known, [*keys, order], rows_per_part)
 
     def ordered(name: str) -> Column:
         return F.desc(name) if descending else F.asc(name)
 
-    def earlier(partition: list[str], name: str):
-        return Window.partitionBy(*partition).orderBy(ordered(name)).rowsBetween(Window.unboundedPreceding, -1)
-
-    def before(m: str, window) -> Column:
-        return F.coalesce(F.sum(m).over(window), F.lit(0))
-
-    ranges = base.groupBy(*keys, _RANGE).agg(
-        *sums, F.min(x).alias("__lo"), F.max(x).alias("__hi"), F.ceil(F.count(F.lit(1)) / rows_per_part).alias("__parts")
-    )
-    ranges = ranges.select(
-        *keys,
-        _RANGE,
-        "__lo",
-        "__hi",
-        "__parts",
-        *[before(m, earlier(keys, _RANGE)).alias(f"__range_{m}") for m in measures],
-        *[F.sum(m).over(Window.partitionBy(*keys)).alias(f"tot_{m}") for m in measures],
-    )
-    share = (x - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
-    part = F.when(
-        (F.col("__parts") > 1) & (F.col("__hi") > F.col("__lo")),
-        F.least(F.floor(share * F.col("__parts")), F.col("__parts") - 1),
-    )
-    part = F.coalesce(part, F.lit(0).cast("bigint"))
-    located = base.join(ranges, [*keys, _RANGE]).withColumn(_PART, part).drop("__lo", "__hi", "__parts")
-
-    spot = [*keys, _RANGE]
-    # The offset of the range travels with the parts: so both uses of ``located`` need the same columns of the
-    # ranges and share their shuffles.
-    parts = located.groupBy(*spot, _PART).agg(*sums, *[F.max(f"__range_{m}").alias(f"__range_{m}") for m in measures])
-    parts = parts.select(
-        *spot,
+    parts = rows.groupBy(_PART, *keys).agg(*[F.sum(m).alias(m) for m in measures], F.min(order).alias(_FROM))
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy(ordered(_FROM)).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
         _PART,
-        *[(F.col(f"__range_{m}") + before(m, earlier(spot, _PART))).alias(f"__base_{m}") for m in measures],
-    )
-    upto = (
-        Window.partitionBy(*spot, _PART).orderBy(ordered(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        *keys,
+        *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"__base_{m}") for m in measures],
+        *[F.sum(m).over(whole).alias(f"tot_{m}") for m in measures],
     )
-    # The rows are spread by part before the last window, whichever way the joins are carried out: a shuffle by
-    # range, left over from a join, would satisfy the window but bring a whole range into one task.
-    return (
-        located.drop(*[f"__range_{m}" for m in measures])
-        .repartition(*spot, _PART)
-        .join(parts, [*spot, _PART])
-        .withColumns({f"cum_{m}": F.col(f"__base_{m}") + F.sum(m).over(upto) for m in measures})
-        .drop(_ALL, _RANGE, _PART, *[f"__base_{m}" for m in measures])
+    upto = Window.partitionBy(_PART, *keys).orderBy(ordered(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.join(offsets, [_PART, *keys]).select(
+        *df.columns,
+        *[f"tot_{m}" for m in measures],
+        *[(F.col(f"__base_{m}") + F.sum(m).over(upto)).alias(f"cum_{m}") for m in measures],
     )
 
 

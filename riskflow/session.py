@@ -39,11 +39,13 @@ def build_session(
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; there the driver's disk is the cluster's disk.
+    Only a local session may go without that setting; there the driver's disk is the cluster's disk, and a folder is set for the
+    session the first time.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="riskflow-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskflow.operators.ordered import cumulate, exact_quantiles, first_rows
+from riskflow.operators.ordered import cumulate, cut_order, exact_quantiles, first_rows
 
 
 def _clustered(seed=1):
@@ -33,14 +33,45 @@ def test_running_totals(spark, descending, rows_per_part):
             assert got[(g, v)] == (running, total)
 
 
-def test_no_part_is_large(spark):
-    """A range that holds most values is cut into parts of bounded size."""
-    rnd = random.Random(3)
-    values = {0.02 + rnd.random() * 1e-4 for _ in range(5000)}
-    df = spark.createDataFrame([(v, 1) for v in values], "v double, n int")
-    plan = cumulate(df, "v", ["n"], rows_per_part=100)._jdf.queryExecution().optimizedPlan().toString()
-    assert "__part" in plan
-    assert cumulate(df, "v", ["n"], rows_per_part=100).agg(F.max("cum_n")).first()[0] == len(values)
+def _peaked(rnd):
+    return [0.02 + rnd.random() * 1e-4 for _ in range(6000)]
+
+
+def _outliers(rnd):
+    """Nearly all values within a billionth of their size, and two far away in the same power of two."""
+    return [0.99999 + rnd.random() * 2e-10 for _ in range(6000)] + [0.75, 0.9999999]
+
+
+def _nested(rnd):
+    """A peak within a peak within a peak."""
+    return [1 + rnd.random() * 10.0 ** -rnd.choice([0, 4, 8, 12]) for _ in range(6000)]
+
+
+@pytest.mark.parametrize("values", [lambda r: [r.random() for _ in range(6000)], _peaked, _outliers, _nested, lambda r: [-(10.0 ** r.uniform(-300, 300)) for _ in range(6000)]])
+def test_no_part_is_large(spark, values):
+    """Whatever the distribution, the largest part stays below twice the target, and parts are ranges."""
+    found = sorted(set(values(random.Random(3))))
+    df = spark.createDataFrame([(v, 1) for v in found], "v double, n int").repartition(4)
+    parts = cut_order(df, ["v"], rows_per_part=200).groupBy("__part").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("lo").collect()
+    assert sum(r.n for r in parts) == len(found) and max(r.n for r in parts) <= 400
+    assert all(a.hi < b.lo for a, b in zip(parts, parts[1:]))
+    totals = cumulate(df, "v", ["n"], rows_per_part=200)
+    assert [r.cum_n for r in totals.orderBy("v").collect()] == list(range(1, len(found) + 1))
+
+
+def test_small_and_large_groups(spark):
+    """A group that holds nearly all rows is cut, thousands of groups of one row are not; both at once."""
+    data = [("big", float(i) ** 3, 1) for i in range(5000)] + [(f"g{i}", float(i), 2) for i in range(3000)]
+    out = cumulate(spark.createDataFrame(data, "g string, v double, n int"), "v", ["n"], ["g"], rows_per_part=300)
+    got = {(r.g, r.v): (r.cum_n, r.tot_n) for r in out.collect()}
+    assert len(got) == len(data)
+    assert all(got["big", float(i) ** 3] == (i + 1, 5000) and (i >= 3000 or got[f"g{i}", float(i)] == (2, 2)) for i in range(5000))
+
+
+def test_rows_that_cannot_be_cut(spark):
+    df = spark.createDataFrame([(1.0, i) for i in range(500)], "v double, n int")
+    assert cut_order(df, ["v"], rows_per_part=10).count() == 500
+    assert cumulate(df.limit(0), "v", ["n"]).count() == 0
 
 
 def test_quantiles_equal_linear_interpolation(spark):
@@ -71,12 +102,11 @@ def test_first_rows_are_limited_before_the_shuffle(spark):
     assert out.where("k = 0").first().id == 89 and out.count() == 11
 
 
-def test_one_scan_and_rows_spread_by_part(spark, tmp_path):
+def test_written_once_and_spread_by_part(spark, tmp_path):
     path = str(tmp_path / "scores")
     spark.range(1000).selectExpr("id % 3 AS g", "id / 1000 AS v").write.parquet(path)
     counts = spark.read.parquet(path).groupBy("g", "v").agg(F.count("*").alias("n"))
     out = cumulate(counts, "v", ["n"], ["g"])
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("FileScan") == 1
-    assert "REPARTITION_BY_COL" in plan
+    assert path not in plan and "hashpartitioning(__part" in plan
