@@ -54,6 +54,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--dpd", type=int, default=30)
     p.add_argument("--mob", type=int, default=1)
     p.add_argument("--trials", type=int)
+    p.add_argument("--select", type=int, help="fit medians and a choice of so many features with the model")
+    p.add_argument("--balanced", action="store_true", help="with --select: weigh classes")
     p = step("score")
     p.add_argument("--model", required=True)
     p.add_argument("--dates", nargs="*")
@@ -89,7 +91,7 @@ def run(spark, args: argparse.Namespace) -> None:
         layers.label_table(spark, args.root, args.dpd, args.mob, args.dates)
     elif args.step == "train":
         trials = args.trials or {"lr": 10, "gbt": 100}[args.kind]
-        layers.train(spark, args.root, args.snapshotdate, args.kind, dpd=args.dpd, mob=args.mob, n_trials=trials)
+        layers.train(spark, args.root, args.snapshotdate, args.kind, dpd=args.dpd, mob=args.mob, n_trials=trials, select=args.select, balanced=args.balanced)
     elif args.step == "score":
         layers.score(spark, args.root, args.model, args.dates, args.format)
     elif args.step == "monitor":

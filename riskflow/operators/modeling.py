@@ -56,11 +56,14 @@ def draw(space: Mapping[str, Sequence], n: int, seed: int = SEARCH_SEED) -> list
     return grid if n >= len(grid) else random.Random(seed).sample(grid, n)
 
 
+def scaler() -> StandardScaler:
+    return StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
+
+
 def preprocessing(features: Sequence[str], scale: bool = True) -> list:
     """Vector of the features, nulls rejected (fill them first), scaled to zero mean and unit deviation."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="error")
-    scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
-    return [assembler, scaler] if scale else [assembler.copy({assembler.outputCol: "features"})]
+    return [assembler, scaler()] if scale else [assembler.copy({assembler.outputCol: "features"})]
 
 
 def logistic(label: str = "label", weight: str | None = None, max_iter: int = 1000) -> LogisticRegression:
@@ -99,23 +102,29 @@ def search(
     folds: int = FOLDS,
     seed: int = SEARCH_SEED,
     parallelism: int = 4,
+    stages: Sequence | None = None,
+    weight: str | None = None,
 ) -> Trained:
     """Random search with cross-validation, scored by the area under the ROC curve of the probabilities.
 
-    A row's fold follows from a hash of its key, so a rerun after a lost executor sees the same folds.
+    A row's fold follows from a hash of its key, so a rerun after a lost executor sees the same folds. ``stages`` (those of
+    ``stages.preparation``) replace the plain vector of the features; they are fitted on ``train`` and saved with
+    the model. ``weight`` names the column that one of them adds.
     """
     fold = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int")
-    prepared = Pipeline(stages=preprocessing(features)).fit(train)
-    data = prepared.transform(train).select("features", F.col(label).cast("double").alias(label), fold.alias("fold"))
+    prepared = Pipeline(stages=preprocessing(features) if stages is None else [*stages, scaler()]).fit(train)
+    data = prepared.transform(train).select(
+        "features", F.col(label).cast("double").alias(label), fold.alias("fold"), *([weight] if weight else [])
+    )
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = data.count()
         if kind == "lr":
-            estimator = logistic(label)
+            estimator = logistic(label, weight)
             points = draw(LR_SPACE, n_trials, seed)
             maps = [_lr_params(estimator, p, n * (folds - 1) / folds) for p in points]
         else:
-            estimator = boosted(label)
+            estimator = boosted(label).setWeightCol(weight) if weight else boosted(label)
             points = draw(GBT_SPACE, n_trials, seed)
             maps = [{estimator.getParam(name): value for name, value in p.items()} for p in points]
         cv = CrossValidator(

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.operators import applications as apps
-from riskflow.operators import dataset, labels, metrics, modeling, state
+from riskflow.operators import dataset, labels, metrics, modeling, stages, state
 from riskflow.operators.cleaning import CLEANERS, Cast, apply_casts, require_columns
 from riskflow.operators.features import build_features, top_values
 from riskflow.schemas import MONITORING, PREDICTIONS, SOURCES
@@ -205,10 +206,15 @@ def train(
     mob: int = 1,
     n_trials: int = 10,
     parallelism: int = 4,
+    select: int | None = None,
+    balanced: bool = False,
 ) -> str:
     """Train on the window before the date, test out of time, save the model and log the run.
 
-    Labels are those of one definition. A label belongs to the features taken ``mob`` months before its snapshot.
+    Labels are those of one definition. A label belongs to the features taken ``mob`` months before its snapshot. With
+    ``select`` the preprocessing is fitted too (see ``stages.preparation``): the ``select`` features that go with the label
+    most, medians in place of nulls, and, if ``balanced``, class weights; it is saved with the model. Else nulls are 0 and all
+    features are used.
     """
     window = dataset.time_split(train_date)
     y = tables.between(stored_labels(spark, root, dpd, mob), window.train_test_start, window.oot_end).withColumn("label_date", F.col("snapshot_date"))
@@ -219,15 +225,24 @@ def train(
     x = tables.between(x, start, end)  # the window bounds the features too
     data = dataset.tag_time_split(dataset.assemble(y, x), window, "label_date")
     names = [c for c in dataset.feature_columns(data) if c != "label_date"]
-    data = data.fillna(0, subset=names).withColumn("row_key", F.concat_ws("|", "Customer_ID", "snapshot_date"))
+    data = (data if select else data.fillna(0, subset=names)).withColumn("row_key", F.concat_ws("|", "Customer_ID", "snapshot_date"))
 
     inside = dataset.stratified_split(data.where("period = 'train_test'"), "label", "row_key")
     sets = inside.unionByName(data.where("period = 'oot'").withColumn("split", F.lit("oot")))
     name = f"credit_model_{kind.upper()}"
     version = f"{name}_{train_date.replace('-', '_')}"
     sets = sinks.materialise(sets, f"{root}/models/training_sets/{version}")
+    weight = "weight" if select and balanced else None
+    prepared = stages.preparation(names, k=select, weight=weight) if select else None
     best = modeling.search(
-        sets.where("split = 'train'"), names, kind=kind, key="row_key", n_trials=n_trials, parallelism=parallelism
+        sets.where("split = 'train'"),
+        names,
+        kind=kind,
+        key="row_key",
+        n_trials=n_trials,
+        parallelism=parallelism,
+        stages=prepared,
+        weight=weight,
     )
     path = f"{root}/models/{version}"
     best.model.write().overwrite().save(path)
@@ -247,9 +262,9 @@ def train(
 
 
 def _ready(model: PipelineModel, features: DataFrame) -> tuple[PipelineModel, DataFrame]:
-    """The model, and features without nulls in the columns it reads."""
-    assembler = next(s for s in model.stages if s.hasParam("inputCols"))
-    return model, features.fillna(0, subset=assembler.getInputCols())
+    """The model, and features as it expects them: without nulls, unless its own stages fill them."""
+    first = model.stages[0]
+    return model, features.fillna(0, subset=first.getInputCols()) if isinstance(first, VectorAssembler) else features
 
 
 def score(

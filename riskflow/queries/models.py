@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.operators import dataset as D
 from riskflow.operators import modeling as M
+from riskflow.operators import stages as P
 from riskflow.queries.registry import Tables, query
 from riskflow.session import scratch_dir
 from riskflow.sources.sinks import materialise
@@ -110,3 +111,51 @@ def model_runs(t: Tables) -> DataFrame:
     again = loaded.agg(F.map_from_entries(F.collect_list(F.struct("split", "auc"))).alias("loaded_auc")).first()["loaded_auc"]
     loaded_auc = F.create_map(*[F.lit(x) for pair in sorted(again.items()) for x in pair])
     return t.spark.read.parquet(f"{base}/log").drop("created_at", "model_path").withColumn("loaded_auc", loaded_auc)
+
+
+# ---- fitted preprocessing ----
+
+_PREPARED = ["quantity", "price", "discount", "tax", "lines", "day", "rare", "flat"]
+_PREPARED_SQL = """WITH s AS (
+  SELECT l_orderkey AS k, SUM(l_quantity) AS quantity, SUM(l_extendedprice) / 1000 AS price, AVG(l_discount) AS discount, AVG(l_tax) AS tax,
+    CAST(COUNT(*) AS DOUBLE) AS lines FROM lineitem GROUP BY 1),
+d AS (
+  SELECT quantity, CASE WHEN k % 3 <> 0 THEN price END AS price, CASE WHEN k % 4 <> 1 THEN discount END AS discount, tax, lines,
+    CAST(DAYOFMONTH(o_orderdate) AS DOUBLE) AS day, CASE WHEN k % 5 < 2 THEN lines END AS rare, CASE WHEN k % 7 <> 0 THEN 3.0::DOUBLE END AS flat,
+    o_orderpriority AS priority, CASE WHEN price + o_totalprice / 2000 + 200 * discount > 280 THEN 1 ELSE 0 END AS label
+  FROM orders JOIN s ON k = o_orderkey),
+n AS (SELECT COUNT(*) AS n, SUM(label) AS pos FROM d),
+m AS (SELECT MEDIAN(quantity) AS quantity, MEDIAN(price) AS price, MEDIAN(discount) AS discount, MEDIAN(tax) AS tax, MEDIAN(lines) AS lines,
+  MEDIAN(day) AS day, MEDIAN(flat) AS flat FROM d),
+i AS (SELECT label, COALESCE(d.quantity, m.quantity) AS quantity, COALESCE(d.price, m.price) AS price, COALESCE(d.discount, m.discount) AS discount,
+  COALESCE(d.tax, m.tax) AS tax, COALESCE(d.lines, m.lines) AS lines, COALESCE(d.day, m.day) AS day FROM d, m),
+c AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, CORR({c}, label) AS value FROM i" for c in _PREPARED[:6]) + """)
+SELECT 'CategoryFlags' AS stage, priority AS feature, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, priority) AS DOUBLE) AS value, TRUE AS kept
+FROM d GROUP BY priority QUALIFY value <= 2
+""" + "".join(f"""UNION ALL SELECT 'MissingRateFilter', '{c}', ROUND(1 - COUNT({c}) / COUNT(*), 8), 1 - COUNT({c}) / COUNT(*) < 0.5 FROM d
+""" for c in _PREPARED) + "".join(f"UNION ALL SELECT 'MedianImputer', '{c}', ROUND({c}, 8), TRUE FROM m\n" for c in _PREPARED if c != "rare") + "".join(
+    f"UNION ALL SELECT 'ConstantFilter', '{c}', {float(c == 'flat')}::DOUBLE, {c != 'flat'}\n" for c in _PREPARED if c != "rare") + """
+UNION ALL SELECT 'CorrelationFilter', feature, ROUND(value, 8), row_number() OVER (ORDER BY ABS(value) DESC, feature) <= 3 FROM c
+UNION ALL SELECT 'ClassWeight', '0', ROUND(n / (2.0 * (n - pos)), 8), TRUE FROM n UNION ALL SELECT 'ClassWeight', '1', ROUND(n / (2.0 * pos), 8), TRUE FROM n
+"""
+
+
+@query("fitted_preprocessing", _PREPARED_SQL)
+def fitted_preprocessing(t: Tables) -> DataFrame:
+    """What the stages learn from data with gaps, a rare and a constant feature, saved and loaded again."""
+    lines = t["lineitem"].groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("quantity"), (F.sum("l_extendedprice") / 1000).alias("price"), F.avg("l_discount").alias("discount"),
+        F.avg("l_tax").alias("tax"), F.count(F.lit(1)).cast("double").alias("lines"),
+    )
+    k = F.col("o_orderkey")
+    data = t["orders"].join(lines, k == F.col("l_orderkey")).select(
+        "quantity", F.when(k % 3 != 0, F.col("price")).alias("price"), F.when(k % 4 != 1, F.col("discount")).alias("discount"), "tax", "lines",
+        F.dayofmonth("o_orderdate").cast("double").alias("day"), F.when(k % 5 < 2, F.col("lines")).alias("rare"), F.when(k % 7 != 0, F.lit(3.0)).alias("flat"),
+        F.col("o_orderpriority").alias("priority"), ((F.col("price") + F.col("o_totalprice") / 2000 + 200 * F.col("discount")) > 280).cast("int").alias("label"),
+    )
+    data = materialise(data, scratch_dir(t.spark, "gaps"))
+    flags = [P.CategoryFlags(inputCol="priority", outputCol="flags", k=2)]
+    model = Pipeline(stages=[*flags, *P.preparation(_PREPARED, k=3, weight="weight")]).fit(data)
+    path = f"{scratch_dir(t.spark, 'prepared')}/model"
+    model.write().overwrite().save(path)
+    return P.fitted_values(PipelineModel.load(path), t.spark).withColumn("value", F.round("value", 8))

@@ -4,11 +4,14 @@ import random
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskflow import jobs, schemas
 from riskflow.operators import modeling as M
+from riskflow.operators.applications import requests
+from riskflow.operators.stages import selected_features
 from riskflow.plans import layers
-from riskflow.sources import tables
+from riskflow.sources import sinks, tables
 
 MONTHS = tables.month_list("2023-01-01", "2024-03-01")
 PER_MONTH = 60
@@ -150,6 +153,42 @@ def test_ever_default_store(spark, root):
     assert 0 < out.where("label = 1").count() < out.count()
 
 
+def test_monitoring_of_some_months(spark, root):
+    report = lambda: {r.month: r for r in tables.read_table(spark, f"{root}/gold/model_monitoring/credit_model_LR", schema=schemas.MONITORING, format="csv").collect()}
+    before = report()
+    month = date(2023, 9, 1)
+    changed = tables.read_table(spark, f"{root}/gold/label_store").where(f"snapshot_date = DATE '{month}'").withColumn("label", F.lit(0))
+    kept = [r for r in tables.read_table(spark, f"{root}/gold/label_store").where(f"snapshot_date = DATE '{month}'").collect()]
+    sinks.write_snapshots(spark.createDataFrame(changed.collect(), changed.schema), f"{root}/gold/label_store", ["label_def", "snapshot_date"])
+    jobs.run(spark, jobs.parser().parse_args(["monitor", "--root", root, "--model", "credit_model_LR", "--dates", str(month)]))
+    after = report()
+    assert after.keys() == before.keys() and after[month].Actual_Default_Rate == 0 < before[month].Actual_Default_Rate
+    assert {m: r for m, r in after.items() if m != month} == {m: r for m, r in before.items() if m != month}
+    sinks.write_snapshots(spark.createDataFrame(kept, changed.schema), f"{root}/gold/label_store", ["label_def", "snapshot_date"])
+    layers.monitor(spark, root, "credit_model_LR", dates=[str(month)])
+    assert report() == before
+
+
+def test_a_request_scores_as_in_the_batch(spark, root):
+    layers.customer_state(spark, root, "2023-05-31")
+    stored = tables.read_table(spark, f"{root}/gold/model_predictions").where("snapshot_date = DATE '2023-08-01'")
+    expected = {r.Customer_ID: r.model_predictions for r in stored.collect()}
+    asked = requests(spark, [(c, "2023-08-01") for c in sorted(expected)[:5]])
+    got = layers.score_requests(spark, root, "credit_model_LR", asked).collect()
+    assert len(got) == 5 and all(r.model_predictions == pytest.approx(expected[r.Customer_ID], abs=1e-9) for r in got)
+
+
+def test_training_with_fitted_preprocessing(spark, root):
+    before = spark.read.parquet(f"{root}/models/model_runs").count()
+    layers.train(spark, root, "2024-02-01", n_trials=1, select=5, balanced=True)
+    assert spark.read.parquet(f"{root}/models/model_runs").count() == before + 1
+    model = M.latest_model(spark, f"{root}/models/model_runs", "none", fallback=f"{root}/models/credit_model_LR_2024_02_01")
+    assert len(selected_features(model)) == 5 and {"DTI", "Outstanding_Debt"} & set(selected_features(model))
+    features = tables.read_table(spark, f"{root}/gold/feature_store")
+    scored = M.predictions(*layers._ready(model, features), "x")
+    assert scored.count() == features.count() and scored.where("model_predictions IS NULL").count() == 0
+
+
 def test_search_space():
     assert len(M.LR_SPACE["C"]) == 10 and round(M.LR_SPACE["C"][0], 6) == 0.001 and round(M.LR_SPACE["C"][-1]) == 1000
     assert M.draw(M.LR_SPACE, 10) == M.draw(M.LR_SPACE, 10)
