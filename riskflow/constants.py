@@ -33,6 +33,9 @@ INCOME_LABELS = ("0-20k", "20-50k", "50-100k", "100k+")
 DTI_EDGES = (0.0, 0.2, 0.36, 0.43, 1.0, 10.0)
 DTI_LABELS = ("Very Low (<20%)", "Low (20-36%)", "Moderate (36-43%)", "High (43-100%)", "Very High (>100%)")
 
+# --- fixed values: text ---
+EXPONENT = r"^[+-]?[0-9]*\.?[0-9]+[eE][+-]?[0-9]+$"  # numbers as Spark's CSV writer prints doubles from 1e7
+
 # --- fixed values: look-back horizons in days ---
 DELAY_HORIZONS = {"3m": 90, "6m": 180, "12m": 365}
 CLICK_HORIZONS = {"7d": 7, "30d": 30}
@@ -61,5 +64,4 @@ OOT_MONTHS = 2
 SEARCH_SEED = 42
 FOLDS = 3
 
-EXPONENT = r"^[+-]?[0-9]*\.?[0-9]+[eE][+-]?[0-9]+$"  # numbers as Spark's CSV writer prints doubles from 1e7
 KEYS = ("loan_id", "Customer_ID", "application_date", "snapshot_date")

@@ -58,10 +58,12 @@ def row_sum(columns: Sequence[str]) -> Column:
 
 
 def dirty_number(x: Column | str) -> Column:
-    """Number left in a text once everything but digits, sign and point is removed; a number in exponent form is read as it is."""
+    """Number left in a text once everything but digits, sign and point is removed. What is a number in exponent form once
+    currency signs, separators and other stray marks are gone is read as that."""
     text = F.trim(_col(x).cast("string"))
+    bare = F.trim(F.regexp_replace(text, r"[^0-9A-Za-z.+\- ]+", ""))
     kept = F.trim(F.regexp_replace(text, r"[^0-9.\-]+", ""))
-    return F.when(text.rlike(EXPONENT), finite(text.try_cast("double"))).otherwise(F.nullif(kept, F.lit("")).try_cast("double"))
+    return F.when(bare.rlike(EXPONENT), finite(bare.try_cast("double"))).otherwise(F.nullif(kept, F.lit("")).try_cast("double"))
 
 
 def log_income(income: Column | str) -> Column:

@@ -13,7 +13,6 @@ from riskflow.constants import LOAN_TYPES, PAYMENT_BEHAVIOURS
 from riskflow.functions import scalars as S
 from riskflow.operators.ordered import first_rows, wide_as_long
 
-_INT_LIMIT = 2**31 - 1
 
 
 # ---- schema ----
@@ -64,42 +63,70 @@ def floats_to_doubles(df: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Cast:
     column: str
-    target: str  # int, bigint or double
+    target: str  # bigint or double
 
 
-def numeric_profile(df: DataFrame, exclude: Sequence[str] = ("Customer_ID", "snapshot_date")) -> DataFrame:
-    """For every text column: rows, rows that hold a number once stripped, share, whether all are whole,
-    largest magnitude. One aggregate over the table for all columns together."""
-    _, columns = columns_by_kind(df, exclude)
+#: What a text column may hold, in the order in which types move up: nothing, whole numbers, numbers, text.
+LATTICE = ("void", "bigint", "double", "string")
+
+
+def numeric_profile(df: DataFrame, exclude: Sequence[str] = ("Customer_ID", "snapshot_date"), by: Sequence[str] = ()) -> DataFrame:
+    """For every text column (of every group of ``by``): rows, rows that hold anything, rows that hold a number once stripped, share,
+    whether all are whole, largest magnitude. One aggregate over the table for all columns together."""
+    _, columns = columns_by_kind(df, [*exclude, *by])
     aggregates: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
     fields: dict[str, dict[str, str]] = {}
-    numbers = df.select(*[S.dirty_number(c).alias(f"x{i}") for i, c in enumerate(columns)])
+    numbers = df.select(*by, *[x for i, c in enumerate(columns) for x in (S.dirty_number(c).alias(f"x{i}"), F.col(c).isNotNull().alias(f"k{i}"))])
     for i, c in enumerate(columns):
         x = F.col(f"x{i}")
         aggregates += [
+            F.count_if(f"k{i}").alias(f"k{i}"),
             F.count(x).alias(f"n{i}"),
             F.coalesce(F.max(F.abs(x - F.floor(x))), F.lit(0.0)).alias(f"f{i}"),
             F.max(F.abs(x)).alias(f"m{i}"),
         ]
-        fields[c] = {"n_rows": "n_rows", "n_numeric": f"n{i}", "max_fraction": f"f{i}", "max_size": f"m{i}"}
+        fields[c] = {"n_rows": "n_rows", "n_known": f"k{i}", "n_numeric": f"n{i}", "max_fraction": f"f{i}", "max_size": f"m{i}"}
     if not fields:
-        return df.sparkSession.createDataFrame(
-            [], "column string, n_rows bigint, n_numeric bigint, max_fraction double, max_size double, share double"
-        )
-    long = wide_as_long(numbers.agg(*aggregates), fields)
-    return long.withColumn("share", F.when(F.col("n_rows") > 0, F.col("n_numeric") / F.col("n_rows")))
+        none = "column string, n_rows bigint, n_known bigint, n_numeric bigint, max_fraction double, max_size double, share double"
+        keys = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*by).schema.fields)
+        return df.sparkSession.createDataFrame([], keys + none)
+    wide = numbers.groupBy(*by).agg(*aggregates) if by else numbers.agg(*aggregates)
+    return wide_as_long(wide, fields, keep=by).withColumn("share", F.when(F.col("n_rows") > 0, F.col("n_numeric") / F.col("n_rows")))
+
+
+def column_types(profile: DataFrame, threshold: float = 0.9) -> DataFrame:
+    """The profile's rows as ``column``, its groups and ``type``, one of ``LATTICE``. Whole numbers are bigint whatever their size."""
+    kind = (
+        F.when(F.col("n_known") == 0, "void")
+        .when(F.col("share") < threshold, "string")
+        .when(F.col("max_fraction") > 0, "double")
+        .otherwise("bigint")
+    )
+    measures = ("n_rows", "n_known", "n_numeric", "max_fraction", "max_size", "share")
+    return profile.select(*[c for c in profile.columns if c not in measures], kind.alias("type"))
+
+
+def merged_types(types: DataFrame) -> DataFrame:
+    """(column, type): the highest type that any group has, so that more data can only move a column up."""
+    rank = F.array_position(F.array(*[F.lit(t) for t in LATTICE]), F.col("type"))
+    names = F.array(*[F.lit(t) for t in LATTICE])
+    return types.groupBy("column").agg(F.element_at(names, F.max(rank).cast("int")).alias("type"))
+
+
+def type_drift(types: DataFrame, partition: str = "snapshot_date") -> DataFrame:
+    """(column, partition, type, merged type) where a partition alone would give another type than all of them."""
+    merged = merged_types(types).withColumnRenamed("type", "merged_type")
+    return types.join(F.broadcast(merged), "column").where("type <> merged_type").select("column", partition, "type", "merged_type")
+
+
+def casts_of(types: DataFrame) -> list[Cast]:
+    """Columns to cast, from one row per column."""
+    return [Cast(r.column, r.type) for r in types.where(F.col("type").isin("bigint", "double")).orderBy("column").collect()]
 
 
 def cast_plan(profile: DataFrame, threshold: float = 0.9) -> list[Cast]:
     """Columns to cast, from a profile (one row per text column)."""
-    plan = []
-    for row in profile.where(F.col("share") >= threshold).orderBy("column").collect():
-        if row.max_fraction > 0:
-            target = "double"
-        else:
-            target = "int" if (row.max_size or 0) <= _INT_LIMIT else "bigint"
-        plan.append(Cast(row.column, target))
-    return plan
+    return casts_of(column_types(profile, threshold))
 
 
 def apply_casts(df: DataFrame, plan: Sequence[Cast]) -> DataFrame:

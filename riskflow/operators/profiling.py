@@ -6,7 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskflow.functions import scalars as S
@@ -73,6 +73,19 @@ def schema_differences(frames: Mapping[str, DataFrame]) -> list[tuple[str, str,
     return out
 
 
+def schema_table(spark: SparkSession, frames: Mapping[str, DataFrame]) -> DataFrame:
+    """(column, partition, type, common_type, differs): the type of every column in every partition (``absent`` where it has
+    none) beside the one that most partitions have, ties by name. Only schemas are read."""
+    types = {name: {f.name: f.dataType.simpleString() for f in df.schema.fields} for name, df in frames.items()}
+    columns = sorted({c for t in types.values() for c in t})
+    rows = []
+    for c in columns:
+        here = {name: t.get(c, "absent") for name, t in types.items()}
+        common = min(here.values(), key=lambda t: (-list(here.values()).count(t), t))
+        rows += [(c, name, t, common, t != common) for name, t in here.items()]
+    return spark.createDataFrame(rows, "column string, partition string, type string, common_type string, differs boolean")
+
+
 # ---- customers over tables ----
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskflow.operators import applications as apps
 from riskflow.operators import dataset, labels, metrics, modeling, stages, state
-from riskflow.operators.cleaning import CLEANERS, Cast, apply_casts, require_columns
+from riskflow.operators.cleaning import CLEANERS, LINEAGE, Cast, apply_casts, casts_of, column_types, merged_types, numeric_profile, require_columns
 from riskflow.operators.features import build_features, top_values
 from riskflow.schemas import MONITORING, PREDICTIONS, SOURCES
 from riskflow.sources import sinks, tables
@@ -28,6 +28,25 @@ def bronze(spark: SparkSession, csv: str, table: str, root: str, dates: Sequence
     return sinks.write_snapshots(raw, f"{root}/bronze/{table}")
 
 
+def swept_casts(spark: SparkSession, table: str, root: str, raw: DataFrame) -> tuple[list[Cast], list[date]]:
+    """Casts for the text columns that no schema declares, and the stored dates whose columns have a lower type than that.
+
+    The types of each snapshot's text columns are kept (``types/<table>``, one row per column and snapshot); a column has the
+    highest one, so types only move up and do not depend on which months a run happens to read.
+    """
+    schema, keys = SOURCES[table]
+    path = f"{root}/types/{table}"
+    declared = [*schema.fieldNames(), *keys, *LINEAGE, "snapshot_text"]
+    before = tables.read_table(spark, path, missing="none")
+    low = {} if before is None else {r["column"]: r["type"] for r in merged_types(before).collect()}
+    found = column_types(numeric_profile(raw, exclude=declared, by=["snapshot_date"]))
+    sinks.write_snapshots(found, path)
+    types = merged_types(tables.read_table(spark, path))
+    risen = [r["column"] for r in types.collect() if low.get(r["column"], r["type"]) != r["type"]]
+    old = set(tables.stored_dates(spark, f"{root}/silver/{table}")) if risen else set()
+    return casts_of(types), sorted(old)
+
+
 def silver(
     spark: SparkSession,
     table: str,
@@ -35,24 +54,45 @@ def silver(
     dates: Sequence[str] | None = None,
     only_new: bool = False,
     casts: Sequence[Cast] = (),
+    sweep: bool = False,
+    only_changed: bool = False,
 ) -> str:
-    """Typed, deduplicated snapshots: all months, some months, or the months not yet there. Of several rows of a key the
+    """Typed, deduplicated snapshots: all months, some months, the months not yet there, or those whose raw files were written
+    since they were last cleaned (told by folders and file times, noted in ``watermarks/<table>``). Of several rows of a key the
     newest delivery stays, with its file and time.
 
-    Declared columns get their declared types; ``casts`` (from a profile of the whole table) types the rest, the
-    same way in every snapshot.
+    Declared columns get their declared types; ``casts`` types the rest, the same way in every snapshot, or, with ``sweep``,
+    the types kept for the table. When a kept type rises, the stored months are built again with it.
     """
     schema, keys = SOURCES[table]
-    raw = tables.read_table(spark, f"{root}/bronze/{table}")
-    target = f"{root}/silver/{table}"
+    bronze_rows = tables.read_table(spark, f"{root}/bronze/{table}")
+    raw, target = bronze_rows, f"{root}/silver/{table}"
+    watermark = f"{root}/watermarks/{table}"
+    changed = tables.changed_dates(spark, f"{root}/bronze/{table}", watermark) if only_changed else {}
+    if only_changed:
+        if not changed:
+            return target
+        dates = sorted(changed)
+    if only_new:
+        held = set(tables.stored_dates(spark, target))
+        here = tables.stored_dates(spark, f"{root}/bronze/{table}")
+        dates = [d for d in (here if dates is None else (date.fromisoformat(str(d)) for d in dates)) if d not in held]
+        if not dates:
+            return target
     if dates:
         raw = tables.at_snapshots(raw, dates)
-    if only_new:
-        raw = tables.only_new(raw, tables.read_table(spark, target, missing="none"))
     require_columns(raw, keys, table)
+    if sweep:
+        casts, again = swept_casts(spark, table, root, raw)
+        if dates and again:
+            raw = tables.at_snapshots(bronze_rows, sorted({*again, *(date.fromisoformat(str(d)) for d in dates)}))
     raw = apply_casts(raw.drop("snapshot_text"), casts)
     cleaned = CLEANERS[table](raw, schema, keys)
-    return sinks.write_snapshots(cleaned, target)
+    sinks.write_snapshots(cleaned, target)
+    if changed:
+        noted = spark.createDataFrame(sorted(changed.items()), "snapshot_date date, modified long")
+        sinks.write_snapshots(noted, watermark)
+    return target
 
 
 def application_table(spark: SparkSession, root: str, choice: str = "latest", first: str | None = None, last: str | None = None) -> str:

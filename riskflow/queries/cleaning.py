@@ -13,6 +13,7 @@ from riskflow.operators.ordered import first_rows
 from riskflow.queries import views as V
 from riskflow.queries.registry import Tables, query
 from riskflow.schemas import SOURCES
+from riskflow.session import scratch_dir
 
 
 @query(
@@ -30,7 +31,7 @@ def loan_dpd(t: Tables) -> DataFrame:
   SELECT 'q_txt' AS "column", TRY_CAST(NULLIF(TRIM(REGEXP_REPLACE(q_txt, '[^0-9.\\-]+', '', 'g')), '') AS DOUBLE) AS v FROM dirty
   UNION ALL
   SELECT 'age_txt', TRY_CAST(NULLIF(TRIM(REGEXP_REPLACE(age_txt, '[^0-9.\\-]+', '', 'g')), '') AS DOUBLE) FROM dirty)
-SELECT "column", COUNT(*) AS n_rows, COUNT(v) AS n_numeric, COALESCE(MAX(ABS(v - FLOOR(v))), 0.0) AS max_fraction,
+SELECT "column", COUNT(*) AS n_rows, COUNT(*) AS n_known, COUNT(v) AS n_numeric, COALESCE(MAX(ABS(v - FLOOR(v))), 0.0) AS max_fraction,
        MAX(ABS(v)) AS max_size, COUNT(v) / COUNT(*) AS share FROM x GROUP BY 1""",
 )
 def numeric_profile(t: Tables) -> DataFrame:
@@ -39,7 +40,7 @@ def numeric_profile(t: Tables) -> DataFrame:
 
 @query(
     "numeric_sweep",
-    f"""WITH {V.DIRTY} SELECT l_orderkey, l_linenumber, CAST(REGEXP_REPLACE(q_txt, '[^0-9]', '', 'g') AS INT) AS q_txt,
+    f"""WITH {V.DIRTY} SELECT l_orderkey, l_linenumber, CAST(REGEXP_REPLACE(q_txt, '[^0-9]', '', 'g') AS BIGINT) AS q_txt,
     age_txt, 'n/a ' || CAST(l_linenumber AS VARCHAR) || '-' || q_txt AS code_txt FROM dirty""",
 )
 def numeric_sweep(t: Tables) -> DataFrame:
@@ -99,12 +100,74 @@ def occupation_known(t: Tables) -> DataFrame:
 
 @query(
     "typed_columns",
-    f"""WITH {V.DIRTY} SELECT CAST(l_orderkey AS INT) AS l_orderkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber,
-    CAST(REGEXP_REPLACE(q_txt, '[^0-9]', '', 'g') AS DOUBLE) AS q_txt, CAST(NULL AS DATE) AS asof FROM dirty""",
+    """SELECT CAST(l_orderkey AS INT) AS l_orderkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber, CAST(CASE l_linenumber % 7
+      WHEN 0 THEN l_quantity * 10 WHEN 1 THEN l_quantity * 100 WHEN 2 THEN l_quantity * 1000 WHEN 3 THEN -l_quantity WHEN 4 THEN l_quantity + 0.5
+      WHEN 5 THEN l_quantity END AS DOUBLE) AS q_txt, CAST(NULL AS DATE) AS asof FROM lineitem""",
 )
 def typed_columns(t: Tables) -> DataFrame:
+    """Numbers with exponents, currency, separators, marks and none at all."""
+    q, kind = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber") % 7
+    text = F.when(kind == 0, F.concat(q, F.lit("E1_"))).when(kind == 1, F.concat(F.lit("$"), q, F.lit("e2"))).when(kind == 2, F.concat(q, F.lit(",000 ")))
+    text = text.when(kind == 3, F.concat(F.lit("-"), q, F.lit("%"))).when(kind == 4, F.concat(q, F.lit(".5E+0"))).when(kind == 5, q).otherwise("n/a")
     schema = StructType.fromDDL("l_orderkey int, l_linenumber double, q_txt double, asof date")
-    return C.enforce_schema(V.dirty(t), schema)
+    return C.enforce_schema(t["lineitem"].select("l_orderkey", "l_linenumber", text.alias("q_txt")), schema)
+
+
+# Text columns by year of the order: whole numbers that outgrow an int, numbers that get a fraction, numbers that turn into text, text,
+# and a column that is empty at first.
+_YEAR = "YEAR(o_orderdate)"
+_TYPES_SQL = f"""y AS (SELECT DISTINCT CAST({_YEAR} AS INT) AS year FROM orders), types AS (
+  SELECT 'whole_txt' AS "column", year, 'bigint' AS type FROM y UNION ALL
+  SELECT 'price_txt', year, CASE WHEN year >= 1998 THEN 'double' ELSE 'bigint' END FROM y UNION ALL
+  SELECT 'mixed_txt', year, CASE WHEN year = 1999 THEN 'string' ELSE 'bigint' END FROM y UNION ALL
+  SELECT 'code_txt', year, 'string' FROM y UNION ALL
+  SELECT 'late_txt', year, CASE WHEN year >= 1997 THEN 'bigint' ELSE 'void' END FROM y), merged AS (
+  SELECT 'whole_txt' AS "column", 'bigint' AS merged_type UNION ALL SELECT 'price_txt', 'double' UNION ALL SELECT 'mixed_txt', 'string' UNION ALL
+  SELECT 'code_txt', 'string' UNION ALL SELECT 'late_txt', 'bigint')"""
+
+
+def _yearly(t: Tables) -> DataFrame:
+    year, key = F.year("o_orderdate"), F.col("o_orderkey")
+    return t["orders"].select(
+        year.alias("year"),
+        F.when(year >= 1999, key * 10_000_000_000).otherwise(key).cast("string").alias("whole_txt"),
+        F.when(year >= 1998, F.concat(key.cast("string"), F.lit(".25"))).otherwise(F.concat(F.lit("$"), key.cast("string"))).alias("price_txt"),
+        F.when(year == 1999, F.lit("lost")).otherwise(F.concat(key.cast("string"), F.lit("_"))).alias("mixed_txt"),
+        F.concat(F.lit("c"), F.lit("-"), F.col("o_orderpriority")).alias("code_txt"),
+        F.when(year >= 1997, (key % 100).cast("string")).alias("late_txt"),
+    )
+
+
+@query("column_types", f"""WITH {_TYPES_SQL} SELECT "column", year, type, merged_type FROM types JOIN merged USING ("column")""")
+def column_types(t: Tables) -> DataFrame:
+    """The type of each text column in each year, and the one that holds for all years: it only moves up."""
+    types = C.column_types(C.numeric_profile(_yearly(t), exclude=(), by=["year"]))
+    return types.join(C.merged_types(types).withColumnRenamed("type", "merged_type"), "column")
+
+
+@query("type_drift", f"""WITH {_TYPES_SQL} SELECT "column", year, type, merged_type FROM types JOIN merged USING ("column") WHERE type <> merged_type""")
+def type_drift(t: Tables) -> DataFrame:
+    return C.type_drift(C.column_types(C.numeric_profile(_yearly(t), exclude=(), by=["year"])), "year")
+
+
+@query(
+    "schema_consistency",
+    f"""WITH y AS (SELECT DISTINCT CAST({_YEAR} AS INT) AS year FROM orders), c AS (
+      SELECT 'o_orderkey' AS "column", year, CASE WHEN year >= 2000 THEN 'bigint' ELSE 'int' END AS type, 'int' AS common_type FROM y UNION ALL
+      SELECT 'total', year, CASE WHEN year = 1996 THEN 'string' ELSE 'double' END, 'double' FROM y UNION ALL
+      SELECT 'status', year, CASE WHEN year < 1997 THEN 'absent' ELSE 'string' END, 'string' FROM y)
+    SELECT "column", CAST(year AS VARCHAR) AS partition, type, common_type, type <> common_type AS differs FROM c""",
+)
+def schema_consistency(t: Tables) -> DataFrame:
+    """Yearly folders, written at different times with different types and columns: their schemas as a table."""
+    root, frames = scratch_dir(t.spark, "schemas"), {}
+    dated = t["orders"].withColumn("year", F.year("o_orderdate"))
+    for (year,) in sorted(dated.select("year").distinct().collect()):
+        columns = [F.col("o_orderkey").cast("bigint" if year >= 2000 else "int"), F.col("o_totalprice").cast("string" if year == 1996 else "double").alias("total")]
+        columns += [F.col("o_orderstatus").alias("status")] if year >= 1997 else []
+        dated.where(F.col("year") == year).select(*columns).write.parquet(f"{root}/year={year}")
+        frames[str(year)] = t.spark.read.parquet(f"{root}/year={year}")
+    return P.schema_table(t.spark, frames)
 
 
 _LINE = [

@@ -96,11 +96,14 @@ def write_dynamic_overwrite(t: Tables) -> DataFrame:
 
 @query("incremental_dates", _MONTHLY)
 def incremental_dates(t: Tables) -> DataFrame:
-    """A target that holds the months up to 1998 gets exactly the missing ones."""
-    root = scratch_dir(t.spark, "orders_incremental")
-    sinks.write_snapshots(tables.up_to(_monthly(t), "1998-12-31"), root)
-    held = tables.read_table(t.spark, root)
-    sinks.write_snapshots(tables.only_new(_monthly(t), held), root)
+    """A target that holds the months up to 1998 gets exactly the missing ones, told by the folders of both tables."""
+    source, root = scratch_dir(t.spark, "orders_source"), scratch_dir(t.spark, "orders_incremental")
+    sinks.write_snapshots(_monthly(t), source)
+    stored = tables.read_table(t.spark, source)
+    sinks.write_snapshots(tables.up_to(stored, "1998-12-31"), root)
+    held = set(tables.stored_dates(t.spark, root))
+    missing = [d for d in tables.stored_dates(t.spark, source) if d not in held]
+    sinks.write_snapshots(tables.at_snapshots(stored, missing), root)
     return tables.read_table(t.spark, root)
 
 

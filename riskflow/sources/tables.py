@@ -107,14 +107,32 @@ def month_list(first: str, last: str) -> list[date]:
     return [d for d in (date(m // 12, m % 12 + 1, 1) for m in months) if d <= hi]
 
 
+def _folders(spark: SparkSession, root: str, column: str) -> dict[date, tuple]:
+    """The folders of a table partitioned by a date, with the file system that lists them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in files.listStatus(path)] if files.exists(path) else []
+    days = ((p.getName().removeprefix(f"{column}="), p) for p in found if p.getName().startswith(f"{column}="))
+    return {date.fromisoformat(d): (files, p) for d, p in days if not d.startswith("__")}
+
+
 def stored_dates(spark: SparkSession, root: str, column: str = "snapshot_date") -> list[date]:
     """Dates that a partitioned table holds, by the names of its folders: no data file is opened, none is even listed.
     A table that does not exist holds none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
-    days = (n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
-    return sorted(date.fromisoformat(d) for d in days if not d.startswith("__"))
+    return sorted(_folders(spark, root, column))
+
+
+def modified_dates(spark: SparkSession, root: str, column: str = "snapshot_date") -> dict[date, int]:
+    """When each date of a partitioned table was last written, in milliseconds; no data file is opened."""
+    folders = _folders(spark, root, column)
+    return {d: max((f.getModificationTime() for f in files.listStatus(p)), default=0) for d, (files, p) in folders.items()}
+
+
+def changed_dates(spark: SparkSession, root: str, watermark: str, column: str = "snapshot_date") -> dict[date, int]:
+    """Dates of a table that were written since the watermark last noted them, new ones among them, with the time to note."""
+    noted = read_table(spark, watermark, missing="none")
+    seen = {} if noted is None else {r[column]: r["modified"] for r in noted.collect()}
+    return {d: t for d, t in modified_dates(spark, root, column).items() if t > seen.get(d, -1)}
 
 
 def missing_dates(source: DataFrame, target: DataFrame | None, column: str = "snapshot_date") -> DataFrame:

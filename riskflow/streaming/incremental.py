@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from riskflow.sources.sinks import write_snapshots
-from riskflow.sources.tables import on_dates_of
+from riskflow.sources.tables import on_dates_of, read_table
+
+BATCH = "batch"
 
 
 def refresh_snapshots(
@@ -20,22 +22,35 @@ def refresh_snapshots(
     checkpoint: str,
     clean: Callable[[DataFrame], DataFrame],
     *,
+    landed: str | None = None,
     date: str = "snapshot_date",
     format: str = "parquet",
 ) -> None:
-    """Rebuild every snapshot that new files touch, from all files of that snapshot.
+    """Rebuild every snapshot that new files touch, from all rows of that snapshot.
 
-    New files only say which dates to rebuild. A file that comes late for a date, or a batch that is repeated
-    after a failure, therefore gives the same table as reading everything at once.
+    New rows land in a table by (date, batch), beside the target unless ``landed`` says where. A batch that is repeated after a
+    failure replaces its own folders there. The dates of the batch are then rebuilt from their landed folders alone,
+    so a file that comes late for a date gives the same table as reading everything at once, and neither old
+    source files nor folders of other dates are read again. Rows without date are left out.
     """
     options = {"header": "true"} if format == "csv" else {}
     stream = spark.readStream.schema(schema).options(**options).format(format).load(source)
+    landing = landed or f"{target.rstrip('/')}.landed"
+    columns = schema.fieldNames()
+    stored = StructType([*schema.fields, StructField(BATCH, LongType())])
 
-    def rebuild(batch: DataFrame, _: int) -> None:
+    def rebuild(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        files = session.read.schema(schema).options(**options).format(format).load(source)
-        rows = on_dates_of(files, batch.where(F.col(date).isNotNull()), date)
-        write_snapshots(clean(rows), target, date)
+        dated = batch.where(F.col(date).isNotNull()).withColumn(BATCH, F.lit(number))
+        batch.persist()
+        try:
+            if dated.isEmpty():
+                return
+            write_snapshots(dated, landing, [date, BATCH])
+            rows = on_dates_of(read_table(session, landing, schema=stored), dated, date)
+            write_snapshots(clean(rows.select(*columns)), target, date)
+        finally:
+            batch.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(rebuild)

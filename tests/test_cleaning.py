@@ -32,7 +32,7 @@ def test_loan_delinquency(spark):
     [
         (
             ["12", "12_", "1,000", " 7 ", "5.0", "-3", "8%", "9", "10", "abc"],
-            "int",
+            "bigint",
             [12, 12, 1000, 7, 5, -3, 8, 9, 10, None],
         ),
         (["1.5_", "2", "3", "4", "5", "6", "7", "8", "9", "10"], "double", [1.5, 2, 3, 4, 5, 6, 7, 8, 9, 10]),
