@@ -205,7 +205,8 @@ def classes(pages: DataFrame, min_pages: int) -> tuple[DataFrame, DataFrame]:
     on ``min_pages`` pages and its tokens come in one order on all of them. It nests in the class whose tokens enclose its own most
     closely, if that is the same one on all of its pages; ``of`` is the number of that one's pages, else of all of the host's.
     """
-    whole = pages.select("host", "digest", "blocks").dropDuplicates(["host", "digest"])
+    slim = F.transform("blocks", lambda b: F.struct(b["token"].alias("token"), b["place"].alias("place"), b["article"].alias("article")))
+    whole = pages.select("host", "digest", slim.alias("blocks")).dropDuplicates(["host", "digest"])
     spots = whole.select("host", "digest", F.posexplode("blocks").alias("at", "b"))
     counts = spots.groupBy("host", "digest", F.col("b.token").alias("token")).agg(
         F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.max("at").alias("last"), F.collect_list(F.struct(F.col("b.place").alias("place"), F.col("b.article").alias("article"))).alias("places")
@@ -226,7 +227,7 @@ def classes(pages: DataFrame, min_pages: int) -> tuple[DataFrame, DataFrame]:
     above = on_page.select("host", "digest", F.explode(F.transform("held", lambda c: F.struct(c["class"].alias("class"), inner(c).alias("parent")))).alias("x"))
     one = F.when((F.min("x.parent") == F.max("x.parent")) & (F.count("x.parent") == F.count(F.lit(1))), F.min("x.parent"))
     nested = above.groupBy("host", F.col("x.class").alias("class")).agg(one.alias("parent"))
-    sizes = whole.groupBy("host").agg(F.count(F.lit(1)).alias("all"))
+    sizes = pages.groupBy("host").agg(F.count_distinct("digest").alias("all"))
     count_of = often.groupBy("host", F.col("class").alias("parent")).agg(F.max("pages").alias("parent_pages"))
     tree = nested.join(count_of, ["host", "parent"], "left").join(sizes, "host")
     tree = tree.select("host", "class", "parent", F.coalesce("parent_pages", "all").alias("of"))
