@@ -57,7 +57,7 @@ def test_empty_tables(spark, documents):
 def test_null_and_repeated_ids(spark, documents):
     docs = [(None, "a b c"), (7, "a b c"), (7, "a b c"), (7, "z")]
     found = D.find_benchmark(documents(docs), bench(spark, [(1, "b c")])).collect()
-    assert sorted((str(r["doc_id"]), r["n_words"], r["n_hit"]) for r in found) == [("7", 1, 0), ("7", 3, 2), ("None", 3, 2)]
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_hit"]) for r in found) == [("7", 1, 0), ("7", 3, 2), ("7", 3, 2), ("None", 3, 2)]
 
 
 def test_near_matches_allow_inserted_words(spark, documents):

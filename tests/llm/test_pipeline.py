@@ -52,6 +52,31 @@ def test_each_stage_alone(spark, folder):
         assert stage(spark, docs, path).columns == P.COLUMNS
 
 
+def kept(spark, stage, folder, rows):
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return sorted(((r.doc_id, r.text) for r in stage(spark, docs, folder).collect()), key=str)
+
+
+def test_rows_that_repeat_or_lack_an_id(spark, folder, prose):
+    """Rows are kept and dropped for their own text, whatever id they carry."""
+    path, _, items = folder
+    x, y, z = prose(40), prose(40), prose(40)
+    assert kept(spark, P.copies, path, [(0, x), (1, x), (1, y)]) == sorted([(0, x), (1, y)], key=str)
+    assert kept(spark, P.copies, path, [(1, x), (1, x), (None, x), (None, y), (None, y), (2, y.replace(" ", "  "))]) == sorted([(1, x), (2, y.replace(" ", "  "))], key=str)
+    assert kept(spark, P.copies, path, [(None, z), (None, z), (3, x)]) == sorted([(None, z), (3, x)], key=str)
+    near = f"{x} end"
+    assert kept(spark, P.near_copies, path, [(0, x), (1, near), (1, y)]) == sorted([(0, x), (1, y)], key=str)
+    assert len(kept(spark, P.near_copies, path, [(1, x), (1, near), (1, x), (2, y), (None, y + " end")])) == 2
+    assert kept(spark, P.near_copies, path, [(-5, near), (4, x), (None, z), (None, None), (7, None)]) == sorted([(-5, near), (None, z), (None, None), (7, None)], key=str)
+    dirty = f"{prose(3)} {items[0][1]}"
+    assert kept(spark, P.benchmark_free, path, [(1, dirty), (1, y), (None, dirty), (None, z), (2, None), (2, None)]) == sorted([(1, y), (None, z), (2, None), (2, None)], key=str)
+    toxic = " ".join(["idiot moron"] * 20)
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    odd = spark.createDataFrame([(5000, toxic, "en", "s", 1), (5000, y, "en", "s", 1), (None, toxic, "en", "s", 1), (None, None, "en", "s", 0)], docs.schema)
+    left = {(r.doc_id, r.text) for r in P.toxic(spark, docs.union(odd), path).collect()}
+    assert (5000, y) in left and (None, None) in left and (5000, toxic) not in left and (None, toxic) not in left
+
+
 def test_whole_run_packs_what_the_stages_keep(spark, folder):
     path, rows, _ = folder
     docs = spark.read.parquet(f"{path}/documents.parquet")
