@@ -15,6 +15,7 @@ from riskflow.operators import dataset, labels, metrics, modeling, stages, state
 from riskflow.operators.cleaning import CLEANERS, LINEAGE, Cast, apply_casts, casts_of, column_types, merged_types, numeric_profile, require_columns
 from riskflow.operators.features import build_features, top_values
 from riskflow.schemas import MONITORING, PREDICTIONS, SOURCES
+from riskflow.session import scratch_dir
 from riskflow.sources import sinks, tables
 
 
@@ -266,6 +267,7 @@ def train(
     data = dataset.tag_time_split(dataset.assemble(y, x), window, "label_date")
     names = [c for c in dataset.feature_columns(data) if c != "label_date"]
     data = (data if select else data.fillna(0, subset=names)).withColumn("row_key", F.concat_ws("|", "Customer_ID", "snapshot_date"))
+    data = sinks.materialise(data, scratch_dir(spark, "training_rows"))  # the split reads them several times
 
     inside = dataset.stratified_split(data.where("period = 'train_test'"), "label", "row_key")
     sets = inside.unionByName(data.where("period = 'oot'").withColumn("split", F.lit("oot")))

@@ -37,8 +37,8 @@ def training_set(t: Tables) -> DataFrame:
         F.dayofmonth("o_orderdate").cast("double").alias("day"),
         ((F.col("price") + F.col("o_totalprice") / 2000 + 200 * F.col("discount")) > 280).cast("int").alias("label"),
     )
-    split = D.stratified_split(data, "label", "Customer_ID")
-    return materialise(split, scratch_dir(t.spark, "training_set"))
+    whole = materialise(data, scratch_dir(t.spark, "training_rows"))  # the split reads them several times
+    return materialise(D.stratified_split(whole, "label", "Customer_ID"), scratch_dir(t.spark, "training_set"))
 
 
 def _evaluated(model: PipelineModel, data: DataFrame, name: str) -> DataFrame:
@@ -159,3 +159,97 @@ def fitted_preprocessing(t: Tables) -> DataFrame:
     path = f"{scratch_dir(t.spark, 'prepared')}/model"
     model.write().overwrite().save(path)
     return P.fitted_values(PipelineModel.load(path), t.spark).withColumn("value", F.round("value", 8))
+
+
+# ---- fits with a closed form ----
+# With one 0/1 feature an unpenalised logistic regression gives each of the two groups its own (weighted) share of positives, and a single
+# split of a boosted tree its mean label, whatever the solver.
+
+_FLAG_SQL = """WITH s AS (SELECT l_orderkey AS k, SUM(l_extendedprice) / 1000 AS price, COUNT(*) AS lines FROM lineitem GROUP BY 1),
+d AS (SELECT k, CAST(k AS VARCHAR) AS "Customer_ID", CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS snapshot_date, CASE WHEN lines >= 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS many,
+  CASE WHEN price + o_totalprice / 2000 > 220 THEN 1 ELSE 0 END AS label FROM orders JOIN s ON k = o_orderkey),
+r AS (SELECT *, COUNT(*) OVER (PARTITION BY label) AS n, ROW_NUMBER() OVER (PARTITION BY label ORDER BY MD5("Customer_ID" || '|88'), "Customer_ID") AS rn FROM d),
+t AS (SELECT *, CASE WHEN rn <= FLOOR(CAST(0.8 AS DOUBLE) * n) THEN 'train' ELSE 'test' END AS split FROM r),
+w AS (SELECT COUNT(*) / (2.0 * SUM(label)) AS w1, COUNT(*) / (2.0 * SUM(1 - label)) AS w0 FROM t WHERE split = 'train'),
+p AS (SELECT many, AVG(label) AS share, SUM(label * w1) / SUM(label * w1 + (1 - label) * w0) AS weighted FROM t, w WHERE split = 'train' GROUP BY many)"""
+
+
+def _flagged(t: Tables) -> DataFrame:
+    """Orders with one 0/1 feature, split and written once."""
+    lines = t["lineitem"].groupBy("l_orderkey").agg((F.sum("l_extendedprice") / 1000).alias("price"), F.count(F.lit(1)).alias("lines"))
+    data = t["orders"].join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("o_orderkey").cast("string").alias("Customer_ID"),
+        F.trunc(F.to_date("o_orderdate"), "MM").alias("snapshot_date"),
+        F.when(F.col("lines") >= 5, 1.0).otherwise(0.0).alias("many"),
+        (F.col("price") + F.col("o_totalprice") / 2000 > 220).cast("int").alias("label"),
+    )
+    whole = materialise(data, scratch_dir(t.spark, "flagged_rows"))
+    return materialise(D.stratified_split(whole, "label", "Customer_ID"), scratch_dir(t.spark, "flagged"))
+
+
+def _unpenalised(data: DataFrame, weight: str | None = None) -> PipelineModel:
+    return M.fit_logistic(data.where("split = 'train'"), ["many"], weight=weight, C=1e12)
+
+
+@query(
+    "newest_model_scores",
+    _FLAG_SQL + """ SELECT "Customer_ID", snapshot_date, 'LR' AS model_name, ROUND(share, 3) AS model_predictions FROM t JOIN p USING (many)""",
+)
+def newest_model_scores(t: Tables) -> DataFrame:
+    """Two trainings are logged; the newest, loaded by name, scores all rows. The older one has its labels turned round."""
+    data, base = _flagged(t), scratch_dir(t.spark, "closed")
+    for day, rows in (("2024-07-01", data.withColumn("label", 1 - F.col("label"))), ("2024-08-01", data)):
+        model, path = _unpenalised(rows), f"{base}/lr_{day}"
+        model.write().overwrite().save(path)
+        M.record_run(
+            t.spark, f"{base}/log", model_name="LR", model_path=path, train_date=day, parameters={}, metrics=M.evaluate(model, rows), sizes=D.split_stats(rows)
+        )
+    scored = M.predictions(M.latest_model(t.spark, f"{base}/log", "LR"), data, "LR")
+    return scored.withColumn("model_predictions", F.round("model_predictions", 3))
+
+
+@query(
+    "balanced_logistic",
+    _FLAG_SQL + """ SELECT many, split, COUNT(*) AS n, ROUND(MAX(weighted), 3) AS score FROM t JOIN p USING (many) GROUP BY 1, 2""",
+)
+def balanced_logistic(t: Tables) -> DataFrame:
+    """With class weights as a fitted stage the scores are shares of weighted positives."""
+    data = _flagged(t)
+    weigher = P.ClassWeight().fit(data.where("split = 'train'"))
+    scored = M.score(_unpenalised(weigher.transform(data), "weight"), data, "score")
+    return scored.groupBy("many", "split").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("score"), 3).alias("score"))
+
+
+_AUC_SQL = """, c AS (SELECT split, SUM(CASE WHEN many = 1 THEN label END) / SUM(label) AS tpr, SUM(CASE WHEN many = 1 THEN 1 - label END) / SUM(1 - label) AS fpr
+  FROM t GROUP BY split), up AS (SELECT CASE WHEN MAX(CASE WHEN many = 1 THEN share END) > MAX(CASE WHEN many = 0 THEN share END) THEN 1 ELSE -1 END AS s FROM p)
+SELECT split, ROUND(0.5 + s * (tpr - fpr) / 2, 6) AS auc, ROUND(s * (tpr - fpr), 3) AS gini FROM c, up"""
+
+
+@query("auc_of_a_model", _FLAG_SQL + _AUC_SQL)
+def auc_of_a_model(t: Tables) -> DataFrame:
+    """Two scores give a ranking whose area is half of one plus the difference of the two rates."""
+    data = _flagged(t)
+    return M.evaluate(_unpenalised(data), data).withColumn("auc", F.round("auc", 6))
+
+
+@query(
+    "coefficient_of_a_flag",
+    _FLAG_SQL + """, x AS (SELECT STDDEV_SAMP(many) AS sd FROM t WHERE split = 'train'),
+    l AS (SELECT MAX(CASE WHEN many = 1 THEN LN(share / (1 - share)) END) - MAX(CASE WHEN many = 0 THEN LN(share / (1 - share)) END) AS odds FROM p)
+    SELECT 'many' AS feature, ROUND(odds * sd, 2) AS coefficient, ROUND(ABS(odds * sd), 2) AS abs_coefficient FROM l, x""",
+)
+def coefficient_of_a_flag(t: Tables) -> DataFrame:
+    """The log odds ratio, times the deviation that the feature was scaled by."""
+    found = M.coefficients(_unpenalised(_flagged(t)), ["many"], t.spark)
+    return found.select("feature", *[F.round(c, 2).alias(c) for c in ("coefficient", "abs_coefficient")])
+
+
+@query(
+    "boosted_closed_form",
+    _FLAG_SQL + """ SELECT many, split, COUNT(*) AS n, ROUND(MAX(1 / (1 + EXP(-2 * (2 * share - 1)))), 6) AS score FROM t JOIN p USING (many) GROUP BY 1, 2""",
+)
+def boosted_closed_form(t: Tables) -> DataFrame:
+    """One tree of one split predicts the mean of labels -1 and 1; the score is the logistic function of twice that."""
+    data = _flagged(t)
+    model = M.fit_boosted(data.where("split = 'train'"), ["many"], maxIter=1, maxDepth=1)
+    return M.score(model, data, "score").groupBy("many", "split").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("score"), 6).alias("score"))
