@@ -28,6 +28,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--only-new", action="store_true")
     p.add_argument("--only-changed", action="store_true", help="months whose raw files were written since they were last cleaned")
     p.add_argument("--sweep", action="store_true", help="type undeclared text columns by the types kept for the table")
+    p = step("profile")
+    p.add_argument("--tables", default=",".join(SOURCES))
+    p.add_argument("--exact", nargs="*", default=[], help="columns whose distinct values are counted exactly")
     p = step("applications")
     p.add_argument("choice", nargs="?", default="latest", help="latest, all, range, or a date")
     p.add_argument("first", nargs="?")
@@ -79,6 +82,9 @@ def run(spark, args: argparse.Namespace) -> None:
     elif args.step == "silver":
         for table in args.tables.split(","):
             layers.silver(spark, table, args.root, args.dates, args.only_new, sweep=args.sweep, only_changed=args.only_changed)
+    elif args.step == "profile":
+        for table in args.tables.split(","):
+            layers.profile_report(spark, args.root, table, exact=args.exact)
     elif args.step == "applications":
         layers.application_table(spark, args.root, args.choice, args.first, args.last)
     elif args.step == "features":

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.operators import applications as apps
-from riskflow.operators import dataset, labels, metrics, modeling, stages, state
+from riskflow.operators import dataset, labels, metrics, modeling, profiles, stages, state
 from riskflow.operators.cleaning import CLEANERS, LINEAGE, Cast, apply_casts, casts_of, column_types, merged_types, numeric_profile, require_columns
 from riskflow.operators.features import build_features, top_values
 from riskflow.schemas import MONITORING, PREDICTIONS, SOURCES
@@ -96,6 +96,40 @@ def silver(
     return target
 
 
+def profile(spark: SparkSession, root: str, table: str, layer: str = "silver", exact: Sequence[str] = ()) -> DataFrame:
+    """The profile of a stored table, one row per column; ``n_distinct`` and the most frequent value beside it for the columns
+    named in ``exact``.
+
+    Profiles are kept per snapshot (``profiles/<layer>/<table>``); only snapshots that were written since are read again, told by
+    folders and file times. Value counts are kept the same way, from the first run that asks for a set of columns on.
+    """
+    source, kept = f"{root}/{layer}/{table}", f"{root}/profiles/{layer}/{table}"
+    rows = tables.read_table(spark, source, merge_schema=True)
+
+    def renew(path: str, make) -> DataFrame:
+        changed = tables.changed_dates(spark, source, f"{path}_seen")
+        if changed:
+            sinks.write_snapshots(make(tables.at_snapshots(rows, sorted(changed))), path)
+            noted = spark.createDataFrame(sorted(changed.items()), "snapshot_date date, modified long")
+            sinks.write_snapshots(noted, f"{path}_seen")
+        return tables.read_table(spark, path)
+
+    by = ["snapshot_date"]
+    stored = renew(kept, lambda new: profiles.partition_profiles(new, by))
+    out = profiles.read_profile(profiles.merge_profiles(stored))
+    if not exact:
+        return out
+    counts = renew(f"{kept}_values_{'_'.join(sorted(exact))}", lambda new: profiles.value_counts_of(new, by, sorted(exact)))
+    return out.join(profiles.exact_distinct(counts), "column", "left")
+
+
+def profile_report(spark: SparkSession, root: str, table: str, layer: str = "silver", exact: Sequence[str] = ()) -> str:
+    """The profile as one small file. Columns that the table does not have are left out of ``exact``."""
+    here = tables.read_table(spark, f"{root}/{layer}/{table}", merge_schema=True).columns
+    out = profile(spark, root, table, layer, [c for c in exact if c in here])
+    return sinks.write_report(out, f"{root}/reports/profiles/{layer}/{table}", ["column"])
+
+
 def application_table(spark: SparkSession, root: str, choice: str = "latest", first: str | None = None, last: str | None = None) -> str:
     loans = tables.read_table(spark, f"{root}/silver/lms_loan_daily")
     chosen = apps.select_dates(apps.application_store(loans), choice, first, last)
