@@ -122,7 +122,7 @@ def term_weights(texts: DataFrame, n: int) -> DataFrame:
 def template_rows(spark: SparkSession, weights: DataFrame, unseen: float, templates: dict[str, list[str]], threshold: float) -> tuple[DataFrame, list[str]]:
     """(template, licence, term, weight) with unit length, and the anchors: the terms of which a passage must have one to reach
     the threshold with any template of one sentence, or with the first sentence of a longer one, since the rest is too light
-    for that."""
+    for that. The commonest terms make up the rest, so few passages hold an anchor."""
     texts = [(name, text) for name, all_ in sorted(templates.items()) for text in all_]
     every = sorted({(t,) for _, text in texts for t in terms(text)})
     listed = spark.createDataFrame(every, "term string").withColumn("bucket", bucket(F.col("term")))
@@ -132,8 +132,9 @@ def template_rows(spark: SparkSession, weights: DataFrame, unseen: float, templa
         own = unit({t: n * idf[t] for t, n in Counter(terms(text)).items()})
         out += [(i, name, t, w) for t, w in own.items()]
         light = 0.0
-        for t, w in sorted(unit({t: n * idf[t] for t, n in Counter(terms(sentences(text)[0])).items()}).items(), key=lambda p: (p[1], p[0])):
-            light += w * w
+        opening = unit({t: n * idf[t] for t, n in Counter(terms(sentences(text)[0])).items()})
+        for t in sorted(opening, key=lambda t: (idf[t], t)):
+            light += opening[t] ** 2
             if math.sqrt(light) >= threshold - 1e-9:
                 anchors.add(t)
     return spark.createDataFrame(out, "template int, licence string, term string, weight double"), sorted(anchors)
