@@ -63,8 +63,8 @@ def merge(
 ) -> DataFrame:
     """The state through a day: what is still needed of the state before and of the rows since, by ``bucket``.
 
-    Rows after ``through`` are left out, so are rows without customer or day. Rows are dealt by bucket once; both
-    newest rows come from one window over it. A total is dated ``through``, so that it precedes every later application.
+    Rows after ``through`` are left out, so are rows without customer or day. Rows are dealt by customer, as a bucket has
+    ever more of them; both newest rows come from one window. A total is dated ``through``, so that it precedes every later application.
     """
     end = F.lit(through).cast("date")
     rows = _rows(new, kept, key, day).where(F.col(day) <= end)
@@ -73,7 +73,7 @@ def merge(
         both = rows if state is None else rows.unionByName(state.select(key, day, *sums), allowMissingColumns=True)
         return both.groupBy(key).agg(*[F.sum(c).alias(c) for c in sums]).select(key, end.alias(day), *sums, bucket(key, buckets))
     both = rows if state is None else rows.unionByName(state.drop(BUCKET), allowMissingColumns=True)
-    both = both.select("*", bucket(key, buckets)).repartition(BUCKET)
+    both = both.select("*", bucket(key, buckets))
     customer = Window.partitionBy(BUCKET, key)
     wanted = F.col(day) > F.date_sub(end, kept.days)
     if kept.newest:
@@ -93,8 +93,8 @@ def history(state: DataFrame | None, since: DataFrame, kept: Kept, through: date
 
 
 def write_state(state: DataFrame, root: str, through: date | str) -> str:
-    """One folder per day and bucket; the states of other days stay."""
-    return write_snapshots(state.withColumn(THROUGH, F.lit(through).cast("date")), root, [THROUGH, BUCKET], rebalance=False)
+    """One folder per day and bucket, a large one written by several tasks; the states of other days stay."""
+    return write_snapshots(state.withColumn(THROUGH, F.lit(through).cast("date")), root, [THROUGH, BUCKET])
 
 
 def read_state(spark: SparkSession, root: str, through: date | str | None) -> DataFrame | None:
