@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from riskflow.constants import FOLDS, SEARCH_SEED, SPLIT_SEED
-from riskflow.operators.metrics import overfit_check, ranking_metrics
+from riskflow.operators.metrics import area_under_curve, overfit_check
 from riskflow.sources.sinks import write_snapshots
 
 # --- fixed values: search spaces ---
@@ -163,7 +163,8 @@ def predictions(
 def evaluate(model: PipelineModel, df: DataFrame, split: str = "split", label: str = "label") -> DataFrame:
     """AUC and Gini (three digits) per split."""
     scored = score(model, df.select("*"), "__score")
-    return ranking_metrics(scored, [split], label, "__score").select(split, "auc", F.round("gini", 3).alias("gini"))
+    areas = area_under_curve(scored, [split], label, "__score")
+    return areas.select(split, "auc", F.round(2 * F.col("auc") - 1, 3).alias("gini"))
 
 
 def overfit(model: PipelineModel, df: DataFrame, split: str = "split", label: str = "label") -> DataFrame:

@@ -1,8 +1,11 @@
 """Steps that must not gather in few tasks, or one after the other, as the tables grow."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
-from riskflow.operators import state
+from riskflow.operators import metrics, modeling, ordered, state
 
 
 def test_a_bucket_of_the_state_is_merged_by_several_tasks(spark):
@@ -19,3 +22,28 @@ def test_a_bucket_of_the_state_is_merged_by_several_tasks(spark):
         spark.conf.set(conf, before)
     assert sorted(r["v"] for r in found) == list(range(400)) and {r[state.BUCKET] for r in found} == {0}
     assert len({r["task"] for r in found}) > 1
+
+
+def scored(spark, n=3000):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([0, 1, 1, None]), rng.choice([rng.random(), 0.5, float("nan"), None])) for _ in range(n)]
+    rows += [("c", 1, 0.1), ("c", 1, 0.2), ("d", 0, 0.3)]
+    return spark.createDataFrame(rows, "g string, label int, score double")
+
+
+def test_area_needs_no_written_ranges(spark, monkeypatch):
+    df = scored(spark).repartition(5)
+    plain = {r["g"]: r for r in metrics.ranking_metrics(df, ["g"]).collect()}
+
+    def refused(*_, **__):
+        raise AssertionError("ranges are written")
+
+    monkeypatch.setattr(ordered, "cut_order", refused)
+    found = {r["g"]: r for r in metrics.area_under_curve(df, ["g"]).collect()}
+    assert set(found) == set(plain) == {"a", "b", "c", "d"} and found["c"]["auc"] is None and found["d"]["auc"] is None
+    for g in found:
+        assert (found[g]["n_pos"], found[g]["n_neg"]) == (plain[g]["n_pos"], plain[g]["n_neg"])
+    assert all(found[g]["auc"] == pytest.approx(plain[g]["auc"], abs=1e-12) for g in "ab")
+    model = modeling.fit_logistic(df.where("g = 'a' AND label IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)"), ["score"])
+    kept = df.where("label IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)")
+    assert {r["g"] for r in modeling.evaluate(model, kept, split="g").collect()} == {"a", "b", "c", "d"}
